@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of byte spans.  Every neighbouring pair that the
-rank table knows lies in the bucket of its rank.  A two-level bitmap marks the
+A pre-token is a linked list of tokens.  Every neighbouring pair that the rank
+table can join lies in the bucket of its rank.  A two-level bitmap marks the
 ranks whose buckets hold positions: find-first-set on the upper level picks a
 group of 256 ranks, find-first-set on the lower one picks the rank.  A merge
 pushes the at most two new pairs and leaves the old ones in place; an entry
@@ -38,16 +38,27 @@ SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 NONE = 1 << 30
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+_BIT = [1 << i for i in range(256)]
+
+
+class Ranks:
+    """The rank table, and from it which two neighbouring tokens make which token."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.whole = ranks
+        self.byte = [ranks[bytes([i])] for i in range(256)]
+        self.join = {ranks[t[:k]] << 20 | ranks[t[k:]]: r for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+
+
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
     """The ids of one pre-token: lowest rank first, leftmost first among equals."""
-    n = len(piece)
-    if n == 1:
-        return [ranks[piece]]
-    get = ranks.get
+    byte, get = ranks.byte, ranks.join.get
+    token = [byte[x] for x in piece]
+    n = len(token)
+    pair = [get(a << 20 | b, NONE) for a, b in zip(token, token[1:])]  # noqa: B905
+    pair.append(NONE)
     after = list(range(1, n + 1))
     before = list(range(-1, n))
-    pair = [get(piece[i : i + 2], NONE) for i in range(n - 1)]
-    pair.append(NONE)
     buckets: dict[int, list[int]] = {}
     upper, lower = 0, {}
     for i, r in enumerate(pair):
@@ -57,81 +68,94 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             else:
                 buckets[r] = [i]
                 w = r >> 8
-                lower[w] = lower.get(w, 0) | 1 << (r & 255)
-                upper |= 1 << w
+                lower[w] = lower.get(w, 0) | _BIT[r & 255]
+                upper |= _BIT[w]
     while upper:
         w = (upper & -upper).bit_length() - 1
         word = lower[w]
         r = w << 8 | (word & -word).bit_length() - 1
         bucket = buckets[r]
-        i = heappop(bucket)
+        i = heappop(bucket) if len(bucket) > 1 else bucket.pop()
         if not bucket:
             del buckets[r]
-            word &= word - 1
-            lower[w] = word
+            lower[w] = word = word & (word - 1)
             if not word:
                 upper &= upper - 1
         if pair[i] != r:
             continue  # stale
         j = after[i]
-        k = after[j]
-        after[i] = k
-        pair[j] = NONE
-        fresh = NONE
+        after[i] = k = after[j]
+        token[i], token[j] = r, -1
+        pair[j] = pair[i] = NONE
         if k < n:
             before[k] = i
-            fresh = get(piece[i : after[k]], NONE)
-        pair[i] = fresh
+            pair[i] = new = get(r << 20 | token[k], NONE)
+            if new != NONE:
+                if new in buckets:
+                    heappush(buckets[new], i)
+                else:
+                    buckets[new] = [i]
+                    w = new >> 8
+                    lower[w] = lower.get(w, 0) | _BIT[new & 255]
+                    upper |= _BIT[w]
         p = before[i]
-        for at, new in ((i, fresh), (p, get(piece[p:k], NONE) if p >= 0 else NONE)):
-            if at >= 0:
-                pair[at] = new
+        if p >= 0:
+            pair[p] = new = get(token[p] << 20 | r, NONE)
             if new != NONE:
                 if new in buckets:
-                    heappush(buckets[new], at)
+                    heappush(buckets[new], p)
                 else:
-                    buckets[new] = [at]
+                    buckets[new] = [p]
                     w = new >> 8
-                    lower[w] = lower.get(w, 0) | 1 << (new & 255)
-                    upper |= 1 << w
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i : after[i]]])
-        i = after[i]
-    return out
+                    lower[w] = lower.get(w, 0) | _BIT[new & 255]
+                    upper |= _BIT[w]
+    return [t for t in token if t >= 0]
+
+
+class _Remembered(dict):
+    """What was met before, in two generations of at most `most` entries; the older one goes when the younger is full."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.old: dict = {}
+
+    def keep(self, key, value):
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
-class _Pieces(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit integers; bounded, emptied when full."""
+class _Pieces(_Remembered):
+    """Pre-token -> its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, ranks, most):
-        self.ranks, self.most = ranks, most
+    def __init__(self, ranks: Ranks, most: int):
+        super().__init__(most)
+        self.ranks = ranks
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        whole = self.ranks.get(raw)
-        ids = merge(raw, self.ranks) if whole is None else [whole]
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = out
-        return out
+        got = self.old.get(piece)
+        if got is None:
+            raw = piece.encode()
+            whole = self.ranks.whole.get(raw)
+            ids = merge(raw, self.ranks) if whole is None else [whole]
+            got = struct.pack(f"<{len(ids)}I", *ids)
+        return self.keep(piece, got) if len(piece) <= 64 else got
 
 
-class _Runs(dict):
-    """What stands between two safe cuts -> its ids; bounded, emptied when full. A key lacks its leading blank."""
+class _Runs(_Remembered):
+    """What stands between two safe cuts -> its ids. A key lacks its leading blank."""
 
-    def __init__(self, encode, most):
-        self.encode, self.most = encode, most
+    def __init__(self, encode, most: int):
+        super().__init__(most)
+        self.encode = encode
 
     def __missing__(self, run: str) -> bytes:
-        out = self.encode(run if run[:1] == "\n" else " " + run)
-        if len(run) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[run] = out
-        return out
+        got = self.old.get(run)
+        if got is None:
+            got = self.encode(run if run[:1] == "\n" else " " + run)
+        return self.keep(run, got) if len(run) <= 64 else got
 
 
 def cut(text: str) -> tuple[str, list[str], str]:
@@ -153,13 +177,14 @@ def cut(text: str) -> tuple[str, list[str], str]:
 
 
 class Codec:
-    def __init__(self, path: str, pattern: str, pieces: int = 500_000, runs: int = 400_000):
+    def __init__(self, path: str, pattern: str, pieces: int = 400_000, runs: int = 450_000):
         import regex
 
         with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.tokens: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
+            whole = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.ranks = Ranks(whole)
+        self.tokens: list[bytes] = [b""] * (max(whole.values()) + 1)
+        for token, rank in whole.items():
             self.tokens[rank] = token
         self._find = regex.compile(pattern).findall
         self._pieces = _Pieces(self.ranks, pieces)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import _slices, cut
+from .bpe import WHITE, _slices, cut
 from .common import fresh_path, saved, ship
 
 
@@ -42,7 +42,7 @@ class LibraryCodec:
     rows go through the library as one text and are told apart by their bytes.
     """
 
-    def __init__(self, path: str, remembered: int = 350_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,7 +58,7 @@ class LibraryCodec:
         self.remembered = remembered
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if text else [], self.width)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids if text else [], self.width)
 
     def _learn(self, runs: list[str]) -> None:
         texts = [r if r[:1] == "\n" else " " + r for r in runs]
@@ -74,8 +74,14 @@ class LibraryCodec:
         """The ids of each text in the width of the file, with end_id appended."""
         if len(self.young) > self.remembered:
             self.young, self.old = {}, self.young
-        parts = [cut(t) if t else ("", [], "") for t in texts]
-        need = {r for _, runs, _ in parts for r in runs}.difference(self.young)
+        parts = []
+        for t in texts:
+            first, runs, tail = cut(t) if t else ("", [], "")
+            after_feed = first[:1] not in WHITE and first != ""
+            if after_feed:  # a line feed before it is a token of its own, so it can be remembered like the others
+                runs.insert(0, "\n" + first)
+            parts.append((after_feed, first, runs, tail))
+        need = {r for _, _, runs, _ in parts for r in runs}.difference(self.young)
         fresh = []
         for r in need:
             if (got := self.old.get(r)) is None:
@@ -85,7 +91,12 @@ class LibraryCodec:
         if fresh:
             self._learn(fresh)
         end = b"" if end_id is None else np.array([end_id], self.width).tobytes()
-        return [self._ids(a).tobytes() + b"".join(map(self.young.__getitem__, runs)) + self._ids(z).tobytes() + end for a, runs, z in parts]
+        out = []
+        for after_feed, first, runs, tail in parts:
+            ids = b"".join(map(self.young.__getitem__, runs))
+            ids = ids[self.width.itemsize :] if after_feed else self._ids(first).tobytes() + ids
+            out.append(ids + (self._ids(tail).tobytes() if tail else b"") + end)
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -145,7 +156,7 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, end_id: int | None
 
     def run(batches):
         codec, part, writer = library_codec(tokenizer), TaskContext.get().partitionId(), None
-        for b in _slices(batches, 256):
+        for b in _slices(batches, 64):
             writer = writer or _Writer(folder, part)
             writer.add(b.column(0).to_pylist(), codec.encode(b.column(1).to_pylist(), end_id), codec.width.itemsize)
         if writer:

@@ -177,7 +177,7 @@ def cut(text: str) -> tuple[str, list[str], str]:
 
 
 class Codec:
-    def __init__(self, path: str, pattern: str, pieces: int = 400_000, runs: int = 450_000):
+    def __init__(self, path: str, pattern: str, pieces: int = 300_000, runs: int = 200_000):
         import regex
 
         with open(path, "rb") as f:

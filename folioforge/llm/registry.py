@@ -1,8 +1,8 @@
 """All queries of this subpackage and their SQL."""
 
-from . import q_ann, q_bpe, q_htmltext, q_mixing, q_pii, q_quality, q_sharding, q_simhash_dedup, q_tokenfile
+from . import q_ann, q_bpe, q_htmltext, q_mixing, q_pii, q_quality, q_sharding, q_simhash, q_simhash_dedup, q_tokenfile
 
-MODULES = (q_ann, q_bpe, q_htmltext, q_mixing, q_pii, q_quality, q_sharding, q_simhash_dedup, q_tokenfile)
+MODULES = (q_ann, q_bpe, q_htmltext, q_mixing, q_pii, q_quality, q_sharding, q_simhash, q_simhash_dedup, q_tokenfile)
 
 
 def queries() -> dict:

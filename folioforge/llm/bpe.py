@@ -223,22 +223,24 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield b.slice(at, rows)
 
 
-def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
-    """(id, ids binary): ids as little-endian unsigned 32-bit integers; with decode also `decoded` binary, from the ids."""
+def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, kept columns, ids binary): ids as little-endian unsigned 32-bit integers; with decode also `decoded` binary, from the ids."""
     ship(df.sparkSession)
-    src = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
+    src = df.select(df[id_col].alias("id"), *[df[c] for c in keep], df[text_col].cast("string").alias("text"))
+    at = len(keep) + 1
+    names = ["id", *keep, "ids", "decoded"][: at + 1 + decode]
 
     def run(batches):
         c = codec(path, pattern)
         for b in _slices(batches):
-            ids = [c.encode(t) for t in b.column(1).to_pylist()]
-            cols = [b.column(0), pa.array(ids, pa.binary())]
+            ids = [c.encode(t) for t in b.column(at).to_pylist()]
+            cols = [*b.columns[:at], pa.array(ids, pa.binary())]
             if decode:
                 cols.append(pa.array([c.decode(x) for x in ids], pa.binary()))
-            yield pa.RecordBatch.from_arrays(cols, ["id", "ids", "decoded"][: len(cols)])
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, ids binary" + ", decoded binary" * decode)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:at])
+    return src.mapInArrow(run, f"{fields}, ids binary" + ", decoded binary" * decode)
 
 
 def bpe_decode(df: DataFrame, path: str, pattern: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

@@ -52,8 +52,8 @@ def targets(sizes: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[
     return w.select("source", "source_size", F.when(F.col("frees") == 1, F.col("level") * F.col("weight")).otherwise((F.col("source_size") * most).cast("double")).alias("target"))
 
 
-def mix(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, ranges: int = 1024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, size, source_size, target, taken) of every row."""
+def _ordered(df: DataFrame, share: float, most: int, weights: tuple[int, ...], ranges: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(id, source, size, key, tie, source_size, target, prior): prior counts what comes before a row in its source, in key order."""
     size = F.coalesce(F.regexp_count(df[text_col], F.lit(WORD)), F.lit(0)).cast("long")
     rows = df.select(df[id_col].alias("id"), df[source_col].alias("source"), size.alias("size"), F.xxhash64(df[text_col]).alias("tie"))
     rows = rows.withColumn("key", key(F.col("id"))).withColumn("range", (F.col("key") / F.lit(float((1 << 60) // ranges))).cast("int"))
@@ -64,9 +64,36 @@ def mix(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ..
     in_range = Window.partitionBy("source", "range").orderBy("key", "id", "tie", "size")
     rows = rows.withColumn("prior", F.sum("size").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     rows = rows.alias("r").join(starts.alias("s"), F.expr("r.source <=> s.source AND r.range = s.range"))
-    rows = rows.select("r.id", "r.source", "r.size", "s.source_size", "s.target", (F.col("r.prior") + F.col("s.start")).alias("prior"))
+    return rows.select("r.id", "r.source", "r.size", "r.key", "r.tie", "s.source_size", "s.target", (F.col("r.prior") + F.col("s.start")).alias("prior"))
+
+
+def _budget() -> tuple:
+    """(whole epochs of a source, what its budget leaves after them)."""
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
-    rest = budget - epochs * F.col("source_size")
+    return epochs, budget - epochs * F.col("source_size")
+
+
+def mix(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, ranges: int = 1024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(id, source, size, source_size, target, taken) of every row."""
+    rows = _ordered(df, share, most, weights, ranges, id_col, text_col, source_col)
+    epochs, rest = _budget()
     taken = epochs * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("prior")))
     return rows.select("id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, ranges: int = 1024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """df as the mix takes it: each row as often as it is taken, with all its columns.
+
+    Rows stay whole: the one on the edge of a budget is in if at least half of it is. The texts do not move:
+    a source needs only its epochs and the key up to which it is taken once more, a small table."""
+    rows = _ordered(df, share, most, weights, ranges, id_col, text_col, source_col)
+    epochs, rest = _budget()
+    edge = F.max(F.when((F.col("size") > 0) & (2 * (rest - F.col("prior")) >= F.col("size")), F.struct("key", "tie")))
+    cuts = rows.withColumn("epochs", epochs).groupBy("source").agg(F.max("epochs").cast("int").alias("__epochs"), edge.alias("__edge")).withColumnRenamed("source", "__source")
+    here = F.struct(key(df[id_col]).alias("key"), F.xxhash64(df[text_col]).alias("tie"))
+    out = df.join(cuts, df[source_col].eqNullSafe(F.col("__source")))
+    times = F.col("__epochs") + F.coalesce(here <= F.col("__edge"), F.lit(False)).cast("int")
+    times = F.when(F.coalesce(F.regexp_count(df[text_col], F.lit(WORD)), F.lit(0)) > 0, times).otherwise(0)
+    out = out.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return out.select(*[out[c] for c in df.columns])

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import row_queries
+from . import block_queries, row_queries
 
-MODULES = (row_queries,)
+MODULES = (row_queries, block_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

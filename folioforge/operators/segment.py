@@ -132,7 +132,7 @@ def score(d: Dialect, x: str) -> str:
     rows = d.filter(d.map(d.split(lines.normalize_whitespace(d, x), NL), "l", d.strip("l")), "l", "l <> ''")
     noise = d.size(d.filter(rows, "l", lines.is_noise(d, "l")))
     has = lambda s, v: f"CASE WHEN {d.has(x, s)} THEN {v} ELSE 0 END"
-    times = lambda s: f"({d.double(f'length({x}) - length(replace({x}, {d.text(s)}, ''))')} / {len(s)})"
+    times = lambda s: f"({d.double(f'length({x}) - length(replace({x}, {d.text(s)}, {d.text(str())}))')} / {len(s)})"
     average = f"{d.double(d.total(rows, 'l', 'length(l)'))} / greatest(1, {d.size(rows)})"
     return (
         f"CASE WHEN {d.size(rows)} > 0 THEN least({d.double(f'length({x})')} / 1000, 80) + {has('Abstract', 10)} + {has('References', 10)} + {has('Introduction', 8)}"

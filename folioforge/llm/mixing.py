@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import saved
+
 WEIGHTS = (5, 2, 1)
 #: Words between white space U+0020, U+0009 to U+000D.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -91,6 +93,7 @@ def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int,
     epochs, rest = _budget()
     edge = F.max(F.when((F.col("size") > 0) & (2 * (rest - F.col("prior")) >= F.col("size")), F.struct("key", "tie")))
     cuts = rows.withColumn("epochs", epochs).groupBy("source").agg(F.max("epochs").cast("int").alias("__epochs"), edge.alias("__edge")).withColumnRenamed("source", "__source")
+    cuts = saved(cuts, "cuts")  # a row for each source; as a table its size is known, so the planner broadcasts it where it is small
     here = F.struct(key(df[id_col]).alias("key"), F.xxhash64(df[text_col]).alias("tie"))
     out = df.join(cuts, df[source_col].eqNullSafe(F.col("__source")))
     times = F.col("__epochs") + F.coalesce(here <= F.col("__edge"), F.lit(False)).cast("int")

@@ -189,14 +189,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
     """The rows of df that stay, with all their columns: of each class the one with the least id (null ids last, then by a hash of the text)."""
-    src = df.withColumn("__tie", F.xxhash64(df[text_col]))
-    prints = saved(fingerprints(src.select(F.struct(F.col(id_col).alias("id"), "__tie").alias("row"), text_col), "row", text_col, width, seed), "fingerprints")
-    best = F.min(F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), F.col("id.__tie").alias("tie"))).alias("best")
-    distinct = prints.groupBy("fp").agg(best)
+    # the id as two plain keys, so that the semi-join and the window share one exchange of the texts
+    src = df.withColumns({"__none": df[id_col].isNull(), "__id": F.coalesce(df[id_col].cast("string"), F.lit("")), "__tie": F.xxhash64(df[text_col])})
+    row = F.struct("__none", F.col(id_col).alias("id"), "__id", "__tie").alias("row")
+    prints = saved(fingerprints(src.select(row, text_col), "row", text_col, width, seed), "fingerprints")
+    distinct = prints.groupBy("fp").agg(F.min("id").alias("best"))
     found = components(links(distinct.select("fp"), radius))
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.id").alias("__id"), F.col("best.tie").alias("__of"))
-    kept = src.join(stay, src[id_col].eqNullSafe(F.col("__id")) & (F.col("__tie") == F.col("__of")), "left_semi")
-    first = F.row_number().over(Window.partitionBy(id_col, "__tie").orderBy("__tie"))
-    kept = kept.withColumn("__nth", first).where("__nth = 1")
-    return kept.select(*df.columns)
+    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.__none", "best.__id", "best.__tie")
+    keys = ["__none", "__id", "__tie"]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("__tie"))
+    return src.join(stay, keys, "left_semi").withColumn("__nth", first).where("__nth = 1").select(*df.columns)

@@ -187,3 +187,21 @@ class Duck(Dialect):
 
 
 SPARK, DUCK = Dialect(), Duck()
+
+
+def columns_of(s: str) -> list[str]:
+    """Split a select list at its outer commas."""
+    out, depth, quote, start = [], 0, "", 0
+    for i, c in enumerate(s):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"":
+            quote = c
+        elif c in "([":
+            depth += 1
+        elif c in ")]":
+            depth -= 1
+        elif c == "," and depth == 0:
+            out.append(s[start:i])
+            start = i + 1
+    return [*out, s[start:]]

@@ -166,3 +166,17 @@ def section_of(d: Dialect, x: str) -> str:
         f"CASE WHEN {d.in_(n, ('Abstract', 'References'))} THEN lower({n}) WHEN {d.rx(n, number)} THEN {d.extract(n, number)}"
         f" WHEN {d.rx(n, letter)} AND {words(d, n)} >= 2 THEN {d.extract(n, letter)} WHEN {d.ends(n, '?')} THEN 'title' ELSE {n} END"
     )
+
+
+def clean_text(d: Dialect, x: str = "text") -> str:
+    return d.strip(normalize_whitespace(d, x))
+
+
+def flagged(d: Dialect) -> str:
+    """Columns over non-blank lines: previous one, whether a blank line lies between, and the two flags of a paper."""
+    w = "OVER (PARTITION BY doc_id ORDER BY line_no"
+    seen = lambda name: f"coalesce(max(CASE WHEN {heading_name(d, 'line')} = '{name}' THEN 1 ELSE 0 END) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1"
+    return (
+        f"doc_id, line_no, line, lag(line) {w}) AS previous, coalesce(line_no - lag(line_no) {w}) > 1, false) AS gap,"
+        f" NOT ({seen('Abstract')}) AS before_abstract, {seen('References')} AS in_references"
+    )

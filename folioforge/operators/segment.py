@@ -6,13 +6,27 @@ folded, which a paper's length bounds. Rows come from papers without order.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ..functions import assembly, lines
-from ..functions.dialect import Dialect
+from ..functions.dialect import SPARK, Dialect, columns_of
 from .template import Operator
 
 NL = chr(10)
 
 
+def lines_of(texts: DataFrame) -> DataFrame:
+    """texts (doc_id, text) -> (doc_id, line_no, line): lines of the cleaned text, counted from 1, without blanks at their ends."""
+    clean = texts.selectExpr("doc_id", f"{lines.clean_text(SPARK)} AS text")
+    return clean.select("doc_id", F.posexplode(F.split("text", NL)).alias("pos", "line")).selectExpr("doc_id", "CAST(pos + 1 AS BIGINT) AS line_no", f"{SPARK.rstrip('line')} AS line")
+
+
+def prose_of(numbered: DataFrame) -> DataFrame:
+    """The lines that are not blank, each with the one before it, whether a blank line lies between, and the flags of its paper."""
+    return numbered.where(f"{SPARK.strip('line')} <> ''").selectExpr(*columns_of(lines.flagged(SPARK)))
+
+
 def _typed(d: Dialect) -> str:
     kind = lines.line_class(d, "line", "before_abstract", "in_references")
     previous = "coalesce(previous, '')"

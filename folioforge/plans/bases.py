@@ -9,10 +9,10 @@ definition for either engine.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions import lines
-from ..functions.dialect import DUCK, SPARK, Dialect
+from ..functions.dialect import DUCK, SPARK, Dialect, columns_of
+from ..operators import segment
 
 NL = "\n"
 
@@ -68,10 +68,6 @@ def paper_text(d: Dialect) -> str:
     return f"concat_ws({t(NL)}, {', '.join(parts)})"
 
 
-def clean_text(d: Dialect, x: str = "text") -> str:
-    return d.strip(lines.normalize_whitespace(d, x))
-
-
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text)"""
     return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{paper_text(SPARK)} AS text")
@@ -82,50 +78,21 @@ PAPERS = f"papers AS (SELECT doc_id, {paper_text(DUCK)} AS text FROM documents)"
 
 def paper_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, line_no, line): lines of the cleaned text, counted from 1."""
-    clean = papers(spark, sf_dir).selectExpr("doc_id", f"{clean_text(SPARK)} AS text")
-    return clean.select("doc_id", F.posexplode(F.split("text", NL)).alias("pos", "line")).selectExpr("doc_id", "CAST(pos + 1 AS BIGINT) AS line_no", f"{SPARK.rstrip('line')} AS line")
+    return segment.lines_of(papers(spark, sf_dir))
 
 
 LINES = (
-    f"{PAPERS}, clean AS (SELECT doc_id, {clean_text(DUCK)} AS text FROM papers), "
+    f"{PAPERS}, clean AS (SELECT doc_id, {lines.clean_text(DUCK)} AS text FROM papers), "
     f"lines AS (SELECT doc_id, line_no, {DUCK.rstrip('line')} AS line FROM (SELECT doc_id, CAST(unnest(range(1, len(a) + 1)) AS BIGINT) AS line_no, unnest(a) AS line FROM (SELECT doc_id, string_split(text, {DUCK.text(NL)}) AS a FROM clean)))"
 )
 
 
-def flagged(d: Dialect) -> str:
-    """Columns over non-blank lines: previous one, whether a blank line lies between, and the two flags of a paper."""
-    w = "OVER (PARTITION BY doc_id ORDER BY line_no"
-    seen = lambda name: f"coalesce(max(CASE WHEN {lines.heading_name(d, 'line')} = '{name}' THEN 1 ELSE 0 END) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1"
-    return (
-        f"doc_id, line_no, line, lag(line) {w}) AS previous, coalesce(line_no - lag(line_no) {w}) > 1, false) AS gap,"
-        f" NOT ({seen('Abstract')}) AS before_abstract, {seen('References')} AS in_references"
-    )
-
-
 def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, line_no, line, previous, gap, before_abstract, in_references) of the lines that are not blank."""
-    return paper_lines(spark, sf_dir).where(f"{SPARK.strip('line')} <> ''").selectExpr(*_columns(flagged(SPARK)))
-
-
-def _columns(s: str) -> list[str]:
-    """Split a select list at its outer commas."""
-    out, depth, quote, start = [], 0, "", 0
-    for i, c in enumerate(s):
-        if quote:
-            quote = "" if c == quote else quote
-        elif c in "'\"":
-            quote = c
-        elif c in "([":
-            depth += 1
-        elif c in ")]":
-            depth -= 1
-        elif c == "," and depth == 0:
-            out.append(s[start:i])
-            start = i + 1
-    return [*out, s[start:]]
+    return segment.prose_of(paper_lines(spark, sf_dir))
 
 
-PROSE = f"{LINES}, prose AS (SELECT {flagged(DUCK)} FROM lines WHERE {DUCK.strip('line')} <> '')"
+PROSE = f"{LINES}, prose AS (SELECT {lines.flagged(DUCK)} FROM lines WHERE {DUCK.strip('line')} <> '')"
 
 
 def pair_columns(d: Dialect) -> str:
@@ -160,7 +127,7 @@ def pair_columns(d: Dialect) -> str:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, kind, section, source, translated, repaired)"""
-    return read(spark, sf_dir, "documents").selectExpr(*_columns(pair_columns(SPARK)))
+    return read(spark, sf_dir, "documents").selectExpr(*columns_of(pair_columns(SPARK)))
 
 
 PAIRS = f"pairs AS (SELECT {pair_columns(DUCK)} FROM documents)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dialect import SPARK
+from ..functions.dialect import SPARK, columns_of
 from ..operators import english_repair, glossary, providers
 from ..sources import jsonl, pdf
 from ..sources.shared import fresh_path
@@ -17,7 +17,7 @@ _BLOCKS = lambda d: "doc_id, concat('b', doc_id) AS block_id, kind AS type, sect
 
 def a07_jsonl_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks written as JSON lines and read strictly."""
-    rows = bases.pairs(spark, sf_dir).selectExpr(*bases._columns(_BLOCKS(SPARK))).withColumn("meta", F.struct(F.lit(1).cast("bigint").alias("line_start"), F.col("doc_id").alias("line_end")))
+    rows = bases.pairs(spark, sf_dir).selectExpr(*columns_of(_BLOCKS(SPARK))).withColumn("meta", F.struct(F.lit(1).cast("bigint").alias("line_start"), F.col("doc_id").alias("line_end")))
     path = jsonl.write_blocks(rows, fresh_path(spark, "blocks"))
     return jsonl.read_blocks(spark, path).select("doc_id", "block_id", "type", "section", F.md5("source").alias("source_hash"), F.col("meta.line_end").alias("line_end"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.dialect import DUCK, SPARK
+from ..functions.dialect import DUCK, SPARK, columns_of
 from ..operators import glossary, layout, runs
 from ..operators.template import Operator
 from . import bases, block_queries
@@ -33,8 +33,8 @@ add("d04_acronym_tokens", glossary.acronyms, "", documents=documents)
 _BOX = "doc_id % 20 AS page, doc_id AS box_id, (doc_id * 37) % 400 AS x0, (doc_id * 53) % 600 AS y0, (doc_id * 37) % 400 + 40 + doc_id % 190 AS x1, (doc_id * 53) % 600 + 15 + doc_id % 50 AS y1, concat(CASE WHEN doc_id % 9 = 0 THEN '2.1 Part ' ELSE '' END, substr(text, 1, 60)) AS hint, CASE WHEN doc_id % 9 = 0 THEN 'title' WHEN doc_id % 6 = 1 THEN 'noise' ELSE 'body' END AS role"
 _REGION = "doc_id % 20 AS page, doc_id AS det_id, (doc_id * 29) % 400 AS x0, (doc_id * 71) % 600 AS y0, (doc_id * 29) % 400 + 90 + doc_id % 70 AS x1, (doc_id * 71) % 600 + 60 + doc_id % 40 AS y1, CASE WHEN doc_id % 2 = 0 THEN 'text' ELSE 'figure' END AS label, CAST(doc_id % 10 AS DOUBLE) / 10 AS confidence"
 BOXES = f"boxes AS (SELECT {_BOX} FROM documents), regions AS (SELECT {_REGION} FROM documents WHERE doc_id % 3 = 0)"
-boxes = lambda s, d: documents(s, d).selectExpr(*bases._columns(_BOX))
-regions = lambda s, d: documents(s, d).where("doc_id % 3 = 0").selectExpr(*bases._columns(_REGION))
+boxes = lambda s, d: documents(s, d).selectExpr(*columns_of(_BOX))
+regions = lambda s, d: documents(s, d).where("doc_id % 3 = 0").selectExpr(*columns_of(_REGION))
 add("h11_bbox_iou", layout.overlaps, BOXES, boxes=boxes, regions=regions)
 add("c05_assign_regions", layout.assign, BOXES, boxes=boxes, regions=regions)
 add("f01_reading_order", layout.reading_order, BOXES, boxes=boxes)
@@ -59,7 +59,7 @@ def _attempt(d):
 
 ATTEMPTS = f"attempts AS (SELECT {_attempt(DUCK)} FROM events WHERE event_id % 4 <> 3), wanted AS (SELECT concat('p', user_id % 50) AS paper_id, event_id AS page FROM events)"
 events = lambda s, d: bases.read(s, d, "events")
-attempts = lambda s, d: events(s, d).where("event_id % 4 <> 3").selectExpr(*bases._columns(_attempt(SPARK)))
+attempts = lambda s, d: events(s, d).where("event_id % 4 <> 3").selectExpr(*columns_of(_attempt(SPARK)))
 wanted = lambda s, d: events(s, d).selectExpr("concat('p', user_id % 50) AS paper_id", "event_id AS page")
 add("i01_page_state", runs.page_states, ATTEMPTS, attempts=attempts)
 add("d01_run_summary", runs.summary, ATTEMPTS, attempts=attempts)
@@ -79,7 +79,7 @@ add("h26_duration", Operator(lambda d: f"SELECT user_id, round({'CAST(unix_micro
 _TASK = lambda d: "doc_id, text, CASE WHEN doc_id % 2 = 0 THEN 'hybrid' ELSE 'full' END AS mode"
 _STORED = lambda d: f"{'sha2' if d.name == 'spark' else 'sha256'}(concat(text, '|', 'hybrid'){', 256' if d.name == 'spark' else ''}) AS k, concat('old:', doc_id) AS answer, doc_id AS seq"
 TASKS = f"tasks AS (SELECT {_TASK(DUCK)} FROM documents), stored AS (SELECT {_STORED(DUCK)} FROM documents WHERE doc_id % 3 = 0)"
-_tasks = dict(tasks=lambda s, d: documents(s, d).selectExpr(*bases._columns(_TASK(SPARK))), stored=lambda s, d: documents(s, d).where("doc_id % 3 = 0").selectExpr(*bases._columns(_STORED(SPARK))))
+_tasks = dict(tasks=lambda s, d: documents(s, d).selectExpr(*columns_of(_TASK(SPARK))), stored=lambda s, d: documents(s, d).where("doc_id % 3 = 0").selectExpr(*columns_of(_STORED(SPARK))))
 add("c15_translation_cache", runs.with_stored, TASKS, **_tasks)
 add("c08_checkpoint_skip", Operator(lambda d: f"SELECT t.doc_id FROM @tasks@ t WHERE NOT EXISTS (SELECT 1 FROM @stored@ s WHERE s.k = {'sha2' if d.name == 'spark' else 'sha256'}(concat(t.text, '|', t.mode){', 256' if d.name == 'spark' else ''}))"), TASKS, **_tasks)
 add("a13_checkpoint_last_write", Operator(lambda d: f"SELECT k, {'max_by' if d.name == 'spark' else 'arg_max'}(answer, seq) AS answer FROM (SELECT k, answer, seq FROM @stored@ UNION ALL SELECT k, concat(answer, '+') AS answer, seq + 1 AS seq FROM @stored@ WHERE seq % 2 = 0) GROUP BY k"), TASKS, stored=_tasks["stored"])

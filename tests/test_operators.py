@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.functions import assembly, lines, repair, translation, validation
-from folioforge.functions.dialect import SPARK
+from folioforge.functions.dialect import SPARK, columns_of
 from folioforge.operators import english_repair, planning, providers, segment
-from folioforge.plans import bases
 from folioforge.sources import jsonl, pdf
 
 D = SPARK
@@ -15,7 +14,7 @@ D = SPARK
 def prose_of(spark, texts):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     rows = df.select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line")).selectExpr("doc_id", "CAST(p + 1 AS BIGINT) AS line_no", "line")
-    return rows, rows.where(f"{D.strip('line')} <> ''").selectExpr(*bases._columns(bases.flagged(D)))
+    return rows, rows.where(f"{D.strip('line')} <> ''").selectExpr(*columns_of(lines.flagged(D)))
 
 
 def blocks_of(spark, text):

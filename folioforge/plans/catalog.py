@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_queries, connector_queries, relational_queries, row_queries
+from . import block_queries, composite_queries, connector_queries, relational_queries, row_queries
 
-MODULES = (row_queries, block_queries, relational_queries, connector_queries)
+MODULES = (row_queries, block_queries, relational_queries, connector_queries, composite_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

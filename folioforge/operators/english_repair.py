@@ -11,11 +11,12 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import repair as r
 from ..functions.lines import PANELS
+from ..sources.shipping import ship
 
 _HEADING, _CAPTION, _URL = re.compile(r.HEADING), re.compile(r.CAPTION), re.compile(r.URLISH)
 _EMAIL, _METADATA, _MIXED = re.compile(r.EMAILISH), re.compile(r.METADATA), re.compile(r.MIXED)
@@ -71,6 +72,7 @@ def repaired(text: str | None) -> str:
 
 
 def repair(text: Column) -> Column:
+    ship(SparkSession.active())
     return F.pandas_udf(lambda s: pd.Series([repaired(t) for t in s]), "string")(text)
 
 
@@ -100,6 +102,8 @@ def front_matter(lines: list[str]) -> dict[str, list[str]]:
 def title_parts(text_col: str) -> Column:
     """A struct of authors, affiliations and emails of a line, each joined by semicolons."""
 
+    ship(SparkSession.active())
+
     def parts(s):
         return pd.DataFrame([{k: ";".join(v) for k, v in front_matter([t or ""]).items()} for t in s], columns=["authors", "affiliations", "emails"])
 

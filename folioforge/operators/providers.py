@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shipping import ship
+
 # Block marks of requests and answers, fences around answers.
 BLOCK = re.compile(r"<BLOCK\s+([^>]+)>\s*(.*?)\s*</BLOCK\s+\1>", re.S)
 FENCE = re.compile(r"^```(?:json)?\s*|\s*```$")
@@ -119,6 +121,7 @@ def requests(keys: list[str], texts: list[str], most: int = 8, budget: int = 500
 
 def call(df: DataFrame, make: Callable[[], Provider], id_col: str, text_col: str, tries: int = 3, wait: float = 0.0) -> DataFrame:
     """(id, answer) of every row; make builds the provider once a task. Ids are keys of a request, so they must differ inside a batch."""
+    ship(df.sparkSession)
     src = df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches):

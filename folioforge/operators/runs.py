@@ -36,11 +36,17 @@ errors = Operator(lambda d: f"WITH {records(d)} SELECT paper_id, page, status, {
 _each = lambda d: "explode" if d.name == "spark" else "unnest"
 reason_counts = Operator(lambda d: f"WITH {records(d)} SELECT reason, count(*) AS n FROM (SELECT {_each(d)}(warnings) AS reason FROM records UNION ALL SELECT {_each(d)}(errors) AS reason FROM records) GROUP BY reason")
 
+def _summary(d: Dialect) -> str:
+    states = d.array(*map(d.text, STATES))
+    return (
+        f"WITH {records(d)}, states AS (SELECT paper_id, {'explode' if d.name == 'spark' else 'unnest'}({states}) AS status FROM (SELECT DISTINCT paper_id FROM records)),"
+        " counts AS (SELECT paper_id, status, count(*) AS n, sum(seconds) AS seconds FROM records GROUP BY paper_id, status)"
+        " SELECT s.paper_id, s.status, coalesce(c.n, 0) AS n, round(coalesce(c.seconds, 0), 3) AS seconds FROM states s LEFT JOIN counts c ON c.paper_id = s.paper_id AND c.status = s.status"
+    )
+
+
 #: Counts of every state of every paper, zeros included, and seconds.
-summary = Operator(
-    lambda d: f"WITH {records(d)}, papers_ AS (SELECT DISTINCT paper_id FROM records), states AS (SELECT * FROM (VALUES {', '.join('(' + d.text(s) + ')' for s in STATES)}) AS v(status))"
-    " SELECT p.paper_id, s.status, count(r.page) AS n, round(coalesce(sum(r.seconds), 0), 3) AS seconds FROM papers_ p CROSS JOIN states s LEFT JOIN records r ON r.paper_id = p.paper_id AND r.status = s.status GROUP BY p.paper_id, s.status"
-)
+summary = Operator(_summary)
 rollup = Operator(lambda d: f"WITH {records(d)} SELECT paper_id, status, count(*) AS n, round(sum(seconds), 3) AS seconds FROM records GROUP BY ROLLUP(paper_id, status)")
 
 #: Pages still to do: those without a translated page in a final state.

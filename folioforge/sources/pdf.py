@@ -15,6 +15,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shipping import ship
+
 _OBJECT = re.compile(rb"[0-9]+\s+[0-9]+\s+obj\b(.*?)\bendobj", re.S)
 _STREAM = re.compile(rb"^(.*?)stream\r?\n(.*?)\r?\n?endstream", re.S)
 _FILTER = re.compile(rb"/Filter\s*(?:\[([^\]]*)\]|(/[A-Za-z0-9]+))")
@@ -125,6 +127,7 @@ def text_of(data: bytes | None) -> str:
 
 def extract(df: DataFrame, id_col: str = "path", content_col: str = "content") -> DataFrame:
     """(id, text) of rows with PDF bytes, such as spark.read.format("binaryFile") gives."""
+    ship(df.sparkSession)
     src = df.select(df[id_col].alias("id"), df[content_col].cast("binary").alias("content"))
 
     def run(batches):

@@ -1,46 +1,12 @@
-"""What the operators of this subpackage share: the shared folder, shipping, loading."""
+"""What the operators of this subpackage share: the shared folder, written tables, loading."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = Path(__file__).resolve().parents[2]
-
-
-def ship(spark: SparkSession) -> None:
-    """Let the executors import this package, where PYTHONPATH does not do so already."""
-    on_path = {os.path.abspath(p) for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()] if p}
-    sc = spark.sparkContext
-    if str(ROOT) in on_path or getattr(sc, "_folioforge_shipped", False):
-        return
-    target = Path(tempfile.mkdtemp()) / "folioforge.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted((ROOT / "folioforge").rglob("*.py")):
-            z.write(p, p.relative_to(ROOT))
-    sc.addPyFile(str(target))
-    sc._folioforge_shipped = True
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
-    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not got:
-        sc = spark.sparkContext
-        got = getattr(sc, "_folioforge_shared", None)
-        if got is None:
-            got = sc._folioforge_shared = "file://" + tempfile.mkdtemp(prefix="folioforge-shared-")
-    return got.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+from ..sources.shared import fresh_path
+from ..sources.shipping import ship
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -69,3 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def unsigned_hex(col):
     """A signed long as 16 lowercase hex digits of its bits."""
     return F.lpad(F.lower(F.hex(col)), 16, "0")
+
+
+__all__ = ["forget", "fresh_path", "saved", "ship", "table", "unsigned_hex"]

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 import uuid
 import zlib
 
@@ -56,6 +57,8 @@ class LibraryCodec:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.remembered = remembered
+        self.special = tuple(added.values())
+        self.tails: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids if text else [], self.width)
@@ -70,6 +73,34 @@ class LibraryCodec:
             self.young[run] = ids[start:stop].tobytes()
             start = stop
 
+    def _tail(self, signs: str) -> bytes:
+        got = self.tails.get(signs)
+        if got is None:
+            if len(self.tails) > 20_000:
+                self.tails.clear()
+            got = self.tails[signs] = self._ids(signs).tobytes()
+        return got
+
+    def _meet(self, fresh: list[str]) -> None:
+        """Learn new runs. Signs behind a letter or digit are a pre-token of their own, so a word is learned once for all signs that follow it."""
+        plain: set[str] = set()
+        made = []
+        for r in fresh:
+            stem = r.rstrip(string.punctuation)
+            if len(stem) == len(r) or not (stem[-1:].isalpha() or stem[-1:].isdecimal()) or any(a in r for a in self.special):
+                plain.add(r)
+                continue
+            made.append((r, stem))
+            if stem not in self.young:
+                if (got := self.old.get(stem)) is None:
+                    plain.add(stem)
+                else:
+                    self.young[stem] = got
+        if plain:
+            self._learn(list(plain))
+        for r, stem in made:
+            self.young[r] = self.young[stem] + self._tail(r[len(stem) :])
+
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[bytes]:
         """The ids of each text in the width of the file, with end_id appended."""
         if len(self.young) > self.remembered:
@@ -81,7 +112,7 @@ class LibraryCodec:
             if after_feed:  # a line feed before it is a token of its own, so it can be remembered like the others
                 runs.insert(0, "\n" + first)
             parts.append((after_feed, first, runs, tail))
-        need = {r for _, _, runs, _ in parts for r in runs}.difference(self.young)
+        need = set().union(*(runs for _, _, runs, _ in parts)).difference(self.young)
         fresh = []
         for r in need:
             if (got := self.old.get(r)) is None:
@@ -89,7 +120,7 @@ class LibraryCodec:
             else:
                 self.young[r] = got
         if fresh:
-            self._learn(fresh)
+            self._meet(fresh)
         end = b"" if end_id is None else np.array([end_id], self.width).tobytes()
         out = []
         for after_feed, first, runs, tail in parts:

@@ -22,8 +22,15 @@ def test_equals_the_library(texts):
         assert np.frombuffer(g, "<u2").tolist() == [*LIBRARY.encode(t, add_special_tokens=False).ids, 2]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("ab'é1².,!%\"€ \n_-)Ⅷ中")), max_size=30), max_size=4))
+def test_signs_behind_words(texts):
+    for t, g in zip(texts, CODEC.encode(texts), strict=True):
+        assert np.frombuffer(g, "<u2").tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
+
+
 def test_special_string_in_a_text_is_what_the_library_makes_of_it():
-    t = "one <|endoftext|> two a<|endoftext|>b"
+    t = "one <|endoftext|> two a<|endoftext|>b c<|endoftext|> d<|endoftext|>, e"
     assert np.frombuffer(CODEC.encode([t])[0], "<u2").tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
 
 

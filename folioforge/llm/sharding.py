@@ -66,7 +66,7 @@ def bounds(rows: int, shards: int) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
-def shard_by_rows(df: DataFrame, shards: int = 8, virtual: int = 128, parts: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_by_rows(df: DataFrame, shards: int = 8, virtual: int = 128, parts: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, shard, slot) of every row; counts of shards are at most one apart."""
     spark = df.sparkSession
     points = ring(shards, virtual)

@@ -97,6 +97,6 @@ def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int,
     here = F.struct(key(df[id_col]).alias("key"), F.xxhash64(df[text_col]).alias("tie"))
     out = df.join(cuts, df[source_col].eqNullSafe(F.col("__source")))
     times = F.col("__epochs") + F.coalesce(here <= F.col("__edge"), F.lit(False)).cast("int")
-    times = F.when(F.coalesce(F.regexp_count(df[text_col], F.lit(WORD)), F.lit(0)) > 0, times).otherwise(0)
+    times = F.when(df[text_col].rlike(WORD.rstrip("+")), times).otherwise(0)  # texts without a word take nothing
     out = out.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return out.select(*[out[c] for c in df.columns])

@@ -155,8 +155,12 @@ def score(d: Dialect, x: str) -> str:
 
 
 def rendered_blocks(d: Dialect) -> str:
-    text = f"CASE WHEN kind = 'heading' THEN {assembly.heading_text(d, assembly.archival(d, 'source'), d.text(''))} ELSE {assembly.archival(d, 'source')} END"
-    return f"rendered AS (SELECT doc_id, block, kind, section, {assembly.rendered(d, 't', 'kind', 'section')} AS chunk FROM (SELECT *, {text} AS t FROM blocks))"
+    """CTE rendered (doc_id, block, kind, section, chunk). The normalised source is a column of its own, so that it is made once."""
+    text = f"CASE WHEN kind = 'heading' THEN {assembly.heading_text(d, 's', d.text(''))} ELSE s END"
+    return (
+        f"normal AS (SELECT *, {assembly.archival(d, 'source')} AS s FROM blocks), texts_ AS (SELECT *, {text} AS t FROM normal),"
+        f" rendered AS (SELECT doc_id, block, kind, section, {assembly.rendered(d, 't', 'kind', 'section')} AS chunk FROM texts_)"
+    )
 
 
 def _document(d: Dialect, table: str) -> str:

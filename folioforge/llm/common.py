@@ -28,8 +28,13 @@ def forget(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table; with columns only these, dealt out evenly if its files split into fewer parts than there are cores (one file of one row group, say)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if not columns:
+        return df
+    df, cores = df.select(*columns), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def unsigned_hex(col):

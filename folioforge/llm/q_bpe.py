@@ -10,7 +10,7 @@ from .common import table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = bpe_encode(table(spark, sf_dir, "documents"), *vocabulary(), decode=True)
+    done = bpe_encode(table(spark, sf_dir, "documents", "doc_id", "text"), *vocabulary(), decode=True)
     return done.select(
         F.col("id").alias("doc_id"),
         F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),

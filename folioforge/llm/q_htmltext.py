@@ -9,7 +9,7 @@ from .htmltext import main_text
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text(table(spark, sf_dir, "pages"))
+    return main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 QUERIES = {"op2_html_text": op2_html_text}

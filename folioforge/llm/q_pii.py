@@ -10,7 +10,7 @@ from .pii import detect
 
 
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detect(table(spark, sf_dir, "documents"))
+    found = detect(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 

@@ -10,7 +10,7 @@ from .simhash_dedup import near_duplicates
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), unsigned_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 

@@ -21,8 +21,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def paper_text(d: Dialect) -> str:
+def paper_text(d: Dialect, whole: bool = False) -> str:
+    """whole: the body goes on to the end of the text, with the text's own lines, not to code point 130."""
     t = d.text
+    rest = "substr(text, 71)" if whole else f"replace(substr(text, 71, 60), {t(NL)}, ' ')"
     snip = lambda a, n: f"replace(substr(text, {a}, {n}), {t(NL)}, ' ')"
     parts = [
         "concat('What is topic ', doc_id, '?')",
@@ -32,7 +34,7 @@ def paper_text(d: Dialect) -> str:
         "CASE WHEN doc_id % 10 = 9 THEN 'Summary' ELSE 'Abstract' END",
         f"concat({snip(1, 70)}, ' cut in the mid-')",
         "'dle of a word and goes on'",
-        f"concat('with ', {snip(71, 60)}, ' at its end.')",
+        f"concat('with ', {rest}, ' at its end.')",
         f"CASE WHEN doc_id % 7 = 0 THEN {t(' padded text​ with\ttabs\fand a form feed')} ELSE 'plain words follow here' END",
         "''",
         f"CASE WHEN doc_id % 4 = 0 THEN {t('1' + NL + NL + 'Introduction')} ELSE '1 Introduction' END",
@@ -73,6 +75,11 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{paper_text(SPARK)} AS text")
 
 
+def whole_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): as papers(), with all of each text."""
+    return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{paper_text(SPARK, whole=True)} AS text")
+
+
 PAPERS = f"papers AS (SELECT doc_id, {paper_text(DUCK)} AS text FROM documents)"
 
 

@@ -110,7 +110,7 @@ ORACLES["i03_bisected_requests"] = f"WITH {bases.PAIRS} SELECT kind, count(*) AS
 
 def x13_block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over all papers with a provider by rule: blocks and characters of the result by kind."""
-    papers = bases.papers(spark, sf_dir).selectExpr("doc_id", "'extracted' AS name", "0 AS priority", "text AS raw")
+    papers = bases.whole_papers(spark, sf_dir).selectExpr("doc_id", "'extracted' AS name", "0 AS priority", "text AS raw")
     out = pipeline.run_papers(papers, _rule, fresh_path(spark, "papers"))
     return out["final"].groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.length("translated")).alias("n_chars"), F.count_if("suspicious").alias("suspicious"))
 

@@ -70,7 +70,7 @@ def c13_parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def e09_repair_interrupted_prose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bases.papers(spark, sf_dir).select("doc_id", F.md5(english_repair.repair(F.regexp_replace("text", "\n", "\n\n"))).alias("text_hash"))
+    return bases.whole_papers(spark, sf_dir).select("doc_id", F.md5(english_repair.repair(F.regexp_replace("text", "\n", "\n\n"))).alias("text_hash"))
 
 
 def h20_front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:

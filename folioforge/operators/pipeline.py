@@ -12,7 +12,7 @@ from ..functions.dialect import SPARK as D
 from . import english_repair, glossary, planning, providers, segment
 
 
-def _table(df: DataFrame, path: str) -> DataFrame:
+def table(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -24,8 +24,19 @@ def best_source(candidates: DataFrame) -> DataFrame:
     return best.selectExpr("doc_id", "name", "score", f"{lines.unwrap(D, 'raw')} AS text")
 
 
-def translated_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider], path: str, stored: DataFrame | None = None) -> DataFrame:
-    """blocks (doc_id, block_id, kind, source, ...) -> also translated. Protected kinds keep their source. stored (doc_id, block_id, translated): drafts that are complete are kept.
+def prompted(texts: DataFrame, terms: DataFrame | None, text_col: str) -> DataFrame:
+    """texts (doc_id, kind, section, chunk, total, ...) -> also prompt, with the first eight terms of the paper's glossary that the text holds."""
+    if terms is None:
+        rows = texts.withColumn("held", F.expr("CAST(array() AS ARRAY<STRUCT<low: STRING, policy: STRING, term: STRING, translation: STRING>>)"))
+    else:
+        entries = terms.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.lower("term").alias("low"), "policy", "term", "translation"))).alias("entries"))
+        rows = texts.join(entries, "doc_id", "left").withColumn("held", F.expr(f"slice(filter(coalesce(entries, array()), e -> contains(lower({text_col}), e.low)), 1, 8)")).drop("entries")
+    guidance = f"array_join(transform(held, e -> {translation.guidance_line(D, 'e.term', 'e.policy', 'e.translation')}), {D.text(chr(10))})"
+    return rows.withColumn("guidance", F.expr(f"nullif({guidance}, '')")).withColumn("prompt", F.expr(translation.prompt(D, text_col, "kind", "section", "chunk", "total", "guidance"))).drop("held", "guidance")
+
+
+def translated_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider], path: str, stored: DataFrame | None = None, terms: DataFrame | None = None) -> DataFrame:
+    """blocks (doc_id, block_id, kind, source, ...) -> also translated. Protected kinds keep their source. stored (doc_id, block_id, translated): drafts that are complete are kept. terms: the glossary, whose terms go with each chunk.
 
     Spans are masked before and restored after; long texts go in chunks; the answers are a table at `path`, so nothing is asked twice."""
     if stored is not None:
@@ -34,9 +45,10 @@ def translated_blocks(blocks: DataFrame, provider: Callable[[], providers.Provid
         blocks = blocks.withColumn("draft", F.lit(None).cast("string"))
     whole = f"draft IS NOT NULL AND {D.strip('draft')} <> '' AND NOT {translation.is_truncated(D, 'source', 'draft', 'kind')}"
     blocks = blocks.selectExpr("*", f"CASE WHEN NOT {D.in_('kind', translation.TRANSLATABLE)} THEN source WHEN {whole} THEN draft END AS ready")
-    asked = blocks.where("ready IS NULL").selectExpr("doc_id", "block_id", "kind", f"{translation.masked(D, 'source')} AS masked", f"{translation.protected_spans(D, 'source')} AS spans")
-    chunks = asked.selectExpr("doc_id", "block_id", f"posexplode({planning.packed(D, 'masked')}) AS (chunk, text)").withColumn("id", F.concat_ws("__", "doc_id", "block_id", "chunk"))
-    answers = _table(providers.call(chunks, provider, "id", "text"), path)
+    asked = blocks.where("ready IS NULL").selectExpr("doc_id", "block_id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", f"{translation.masked(D, 'source')} AS masked", f"{translation.protected_spans(D, 'source')} AS spans")
+    cut = asked.selectExpr("doc_id", "block_id", "kind", "section", f"{planning.packed(D, 'masked')} AS c")
+    chunks = cut.selectExpr("doc_id", "block_id", "kind", "section", "size(c) AS total", "posexplode(c) AS (chunk, text)").withColumn("id", F.concat_ws("__", "doc_id", "block_id", "chunk"))
+    answers = table(providers.call(prompted(chunks, terms, "text"), provider, "id", "text", prompt_col="prompt"), path)
     parts = chunks.select("id", "doc_id", "block_id", "chunk").join(answers, "id")
     joined = parts.groupBy("doc_id", "block_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "answer"))).alias("p")).selectExpr("doc_id", "block_id", "transform(p, e -> e.answer) AS p")
     done = asked.join(joined, ["doc_id", "block_id"], "left").selectExpr("doc_id", "block_id", f"{translation.restored(D, '(' + translation.response_chunk(D, 'kind', 'coalesce(p, array())') + ')', 'spans')} AS answer")
@@ -44,10 +56,11 @@ def translated_blocks(blocks: DataFrame, provider: Callable[[], providers.Provid
     return out.drop("draft", "ready", "answer")
 
 
-def repaired_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider], path: str) -> DataFrame:
-    """Only suspicious drafts are asked for again; an empty or failed answer keeps the draft. `still` tells whether the result is suspicious itself."""
+def repaired_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider], path: str, terms: DataFrame | None = None) -> DataFrame:
+    """Only suspicious drafts are asked for again, with the terms of the glossary; an empty or failed answer keeps the draft. `still` tells whether the result is suspicious itself."""
     marked = blocks.selectExpr("*", f"{translation.is_suspicious(D, 'source', 'translated', 'kind')} AS suspicious").withColumn("id", F.concat_ws("__", "doc_id", "block_id"))
-    answers = _table(providers.call(marked.where("suspicious"), provider, "id", "source"), path).where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
+    asked = marked.where("suspicious").selectExpr("doc_id", "id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", "0 AS chunk", "1 AS total", "source")
+    answers = table(providers.call(prompted(asked, terms, "source"), provider, "id", "source", prompt_col="prompt"), path).where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
     out = marked.join(answers.withColumnRenamed("answer", "repaired"), "id", "left").withColumn("translated", F.coalesce("repaired", "translated"))
     return out.selectExpr("*", f"{translation.is_suspicious(D, 'source', 'translated', 'kind')} AS still").drop("id")
 
@@ -67,11 +80,11 @@ def documents(blocks: DataFrame, study: bool = False) -> DataFrame:
 def run_papers(candidates: DataFrame, provider: Callable[[], providers.Provider], folder: str, repaired_input: bool = False) -> dict[str, DataFrame]:
     """Sources of papers to archival and study documents; folder takes the tables. repaired_input: segment the repaired English text instead of the cleaned one."""
     spark = candidates.sparkSession
-    best = best_source(candidates)
-    cleaned = segment.clean_paragraphs(spark, lines=segment.lines_of(best.select("doc_id", "text"))).select("doc_id", "text")
-    english = cleaned.withColumn("text", english_repair.repair(F.col("text")))
-    terms = glossary.build(spark, lines=segment.lines_of(english))
-    blocks = _table(segment.segment(spark, prose=segment.prose_of(segment.lines_of(english if repaired_input else cleaned))), f"{folder}/blocks")
-    drafted = translated_blocks(blocks, provider, f"{folder}/answers")
-    final = _table(repaired_blocks(drafted, provider, f"{folder}/repairs"), f"{folder}/final")
+    best = table(best_source(candidates), f"{folder}/best")
+    cleaned = table(segment.clean_paragraphs(spark, lines=segment.lines_of(best.select("doc_id", "text"))).select("doc_id", "text"), f"{folder}/cleaned")
+    english = table(cleaned.withColumn("text", english_repair.repair(F.col("text"))), f"{folder}/english")
+    terms = table(glossary.build(spark, lines=segment.lines_of(english)), f"{folder}/glossary")
+    blocks = table(segment.segment(spark, prose=segment.prose_of(segment.lines_of(english if repaired_input else cleaned))), f"{folder}/blocks")
+    drafted = translated_blocks(blocks, provider, f"{folder}/answers", terms=terms)
+    final = table(repaired_blocks(drafted, provider, f"{folder}/repairs", terms), f"{folder}/final")
     return {"best": best, "cleaned": cleaned, "english": english, "glossary": terms, "blocks": blocks, "final": final, "archival": documents(final), "study": documents(final, study=True)}

@@ -25,11 +25,12 @@ from ..sources.shipping import ship
 BLOCK = re.compile(r"<BLOCK\s+([^>]+)>\s*(.*?)\s*</BLOCK\s+\1>", re.S)
 FENCE = re.compile(r"^```(?:json)?\s*|\s*```$")
 ERROR = "[TRANSLATION_ERROR:{}]"
+TASK = "Translate each block, keep its marks. Where a block has a Passage, translate that alone; the lines before it are guidance.\n"
 
 
 class Provider(Protocol):
-    def answer(self, texts: dict[str, str]) -> dict[str, str]:
-        """An answer for every key, or an exception."""
+    def answer(self, texts: dict[str, str], prompts: dict[str, str] | None = None) -> dict[str, str]:
+        """An answer for every key, or an exception. prompts: per key what to send for the text, with its guidance; only given where call() has a prompt column."""
 
 
 class ProviderError(RuntimeError):
@@ -49,18 +50,20 @@ def missing(asked: dict[str, str], got: dict[str, str]) -> list[str]:
 
 
 class RuleProvider:
-    """Answers by a rule; fails for texts that hold `poison`, and for the first `flaky` calls. For tests and dry runs."""
+    """Answers by a rule, or by `guided`, a rule of text and prompt; fails for texts that hold `poison`, and for the first `flaky` calls. For tests and dry runs."""
 
-    def __init__(self, rule: Callable[[str], str] = lambda t: "譯：" + t, poison: str | None = None, flaky: int = 0):
-        self.rule, self.poison, self.flaky = rule, poison, flaky
+    def __init__(self, rule: Callable[[str], str] = lambda t: "譯：" + t, poison: str | None = None, flaky: int = 0, guided: Callable[[str, str], str] | None = None):
+        self.rule, self.poison, self.flaky, self.guided = rule, poison, flaky, guided
         self.calls = 0
 
-    def answer(self, texts):
+    def answer(self, texts, prompts=None):
         self.calls += 1
         if self.calls <= self.flaky:
             raise ProviderError("not yet")
         if self.poison and any(self.poison in t for t in texts.values()):
             raise ProviderError("refused")
+        if self.guided:
+            return {k: self.guided(t, (prompts or {}).get(k, "")) for k, t in texts.items()}
         return {k: self.rule(t) for k, t in texts.items()}
 
 
@@ -70,12 +73,12 @@ class HttpProvider:
     def __init__(self, url: str, model: str, key: str = "", timeout: int = 180):
         self.url, self.model, self.key, self.timeout = url, model, key, timeout
 
-    def answer(self, texts):
+    def answer(self, texts, prompts=None):
         import json
         from urllib import request
 
-        body = "\n\n".join(f"<BLOCK {k}>\n{t}\n</BLOCK {k}>" for k, t in texts.items())
-        data = json.dumps({"model": self.model, "temperature": 0, "messages": [{"role": "user", "content": "Translate each block, keep its marks.\n" + body}]}).encode()
+        body = "\n\n".join(f"<BLOCK {k}>\n{t}\n</BLOCK {k}>" for k, t in (prompts or texts).items())
+        data = json.dumps({"model": self.model, "temperature": 0, "messages": [{"role": "user", "content": TASK + body}]}).encode()
         head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
         with request.urlopen(request.Request(self.url, data, head), timeout=self.timeout) as r:
             return parse_blocks(json.load(r)["choices"][0]["message"]["content"])
@@ -88,11 +91,12 @@ def backend(name: str = "auto", model: str = "", url: str = "") -> str:
     return "ollama" if name == "ollama" or url.endswith("/api/generate") else "openai"
 
 
-def ask(provider: Provider, texts: dict[str, str], tries: int = 3, wait: float = 0.0) -> dict[str, str]:
+def ask(provider: Provider, texts: dict[str, str], tries: int = 3, wait: float = 0.0, prompts: dict[str, str] | None = None) -> dict[str, str]:
     """Answers for all keys; what cannot be had is an error mark."""
+    more = {} if prompts is None else {"prompts": {k: prompts[k] for k in texts}}
     for k in range(tries):
         try:
-            got = provider.answer(texts)
+            got = provider.answer(texts, **more)
             if lost := missing(texts, got):
                 raise ProviderError(f"no answer for {lost}")
             return {key: got[key] for key in texts}
@@ -103,7 +107,7 @@ def ask(provider: Provider, texts: dict[str, str], tries: int = 3, wait: float =
         return {k: ERROR.format(k) for k in texts}
     keys = list(texts)
     half = len(keys) // 2
-    return ask(provider, {k: texts[k] for k in keys[:half]}, tries, wait) | ask(provider, {k: texts[k] for k in keys[half:]}, tries, wait)
+    return ask(provider, {k: texts[k] for k in keys[:half]}, tries, wait, prompts) | ask(provider, {k: texts[k] for k in keys[half:]}, tries, wait, prompts)
 
 
 def requests(keys: list[str], texts: list[str], most: int = 8, budget: int = 5000) -> Iterator[dict[str, str]]:
@@ -119,17 +123,18 @@ def requests(keys: list[str], texts: list[str], most: int = 8, budget: int = 500
         yield held
 
 
-def call(df: DataFrame, make: Callable[[], Provider], id_col: str, text_col: str, tries: int = 3, wait: float = 0.0) -> DataFrame:
-    """(id, answer) of every row; make builds the provider once a task. Ids are keys of a request, so they must differ inside a batch."""
+def call(df: DataFrame, make: Callable[[], Provider], id_col: str, text_col: str, tries: int = 3, wait: float = 0.0, prompt_col: str | None = None) -> DataFrame:
+    """(id, answer) of every row; prompt_col: what the provider is given besides each text; make builds the provider once a task. Ids are keys of a request, so they must differ inside a batch."""
     ship(df.sparkSession)
-    src = df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([F.col(prompt_col).alias("prompt")] if prompt_col else []))
 
     def run(batches):
         provider = make()
         for b in batches:
             got: dict[str, str] = {}
+            prompts = dict(zip(b["id"], b["prompt"], strict=True)) if prompt_col else None
             for r in requests(b["id"].tolist(), b["text"].tolist()):
-                got |= ask(provider, r, tries, wait)
+                got |= ask(provider, r, tries, wait, prompts)
             yield pd.DataFrame({"id": b["id"], "answer": [got[k] for k in b["id"]]})
 
     return src.mapInPandas(run, "id string, answer string")

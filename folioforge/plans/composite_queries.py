@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import assembly, repair, translation, validation
 from ..functions.dialect import DUCK, SPARK
-from ..operators import pipeline, providers, runs
+from ..operators import glossary, pipeline, providers, runs
 from ..operators.template import Operator
 from ..sources.shared import fresh_path
 from . import bases, block_queries, relational_queries
@@ -30,7 +33,8 @@ _heads = lambda s, d: bases.pairs(s, d).where("kind IN ('heading', 'code')").sel
 
 def x04_translate_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _heads(spark, sf_dir)
-    done = pipeline.translated_blocks(rows.drop("translated"), _rule, fresh_path(spark, "answers"), rows.select("doc_id", "block_id", "translated"))
+    terms = glossary.build(spark, lines=rows.selectExpr("doc_id", "1L AS line_no", "source AS line"))
+    done = pipeline.translated_blocks(rows.drop("translated"), _rule, fresh_path(spark, "answers"), rows.select("doc_id", "block_id", "translated"), terms)
     return done.select("doc_id", F.md5("translated").alias("text_hash"))
 
 
@@ -108,11 +112,31 @@ QUERIES["i03_bisected_requests"] = i03_bisected_requests
 ORACLES["i03_bisected_requests"] = f"WITH {bases.PAIRS} SELECT kind, count(*) AS n, count(*) FILTER (contains(source, '{{v1}}')) AS failed FROM pairs GROUP BY kind"
 
 
+def _guided(text: str, prompt: str) -> str:
+    """The rule, and the glossary's translations put in as the prompt asks."""
+    for line in prompt.split("Passage: ")[0].split("\n"):
+        term, arrow, use = line.removeprefix("- ").partition(" => ")
+        if arrow and use not in ("preserve English", "prefer consistent translation"):
+            text = re.sub(re.escape(term), lambda _, u=use: u, text, flags=re.I)
+    return "譯：" + text
+
+
 def x13_block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over all papers with a provider by rule: blocks and characters of the result by kind."""
-    papers = bases.whole_papers(spark, sf_dir).selectExpr("doc_id", "'extracted' AS name", "0 AS priority", "text AS raw")
-    out = pipeline.run_papers(papers, _rule, fresh_path(spark, "papers"))
-    return out["final"].groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.length("translated")).alias("n_chars"), F.count_if("suspicious").alias("suspicious"))
+    """All stages over all papers in two candidates with a provider by rule: count and characters of the blocks by kind, of the sources chosen, the glossary's terms by policy and both documents."""
+    papers = bases.whole_papers(spark, sf_dir)
+    wrapped = "concat('# Source Extracted Text\\n\\nSource PDF: a\\n\\n## Extracted Content\\n\\n', text)"
+    broken = "CASE WHEN doc_id % 2 = 0 THEN replace(text, 'Abstract', '(cid:1)') ELSE text END"
+    candidates = papers.selectExpr("doc_id", "'converted' AS name", "1 AS priority", "text AS raw").unionByName(papers.selectExpr("doc_id", "'extracted' AS name", "0 AS priority", f"{broken.replace('ELSE text', f'ELSE {wrapped}')} AS raw"))
+    out = pipeline.run_papers(candidates, lambda: providers.RuleProvider(guided=_guided), fresh_path(spark, "papers"), repaired_input=True)
+    parts = [
+        out["final"].select("kind", F.col("translated").alias("t"), "suspicious"),
+        out["best"].select(F.concat(F.lit("source: "), "name").alias("kind"), F.col("text").alias("t"), F.lit(False).alias("suspicious")),
+        out["glossary"].select(F.concat(F.lit("glossary: "), "policy").alias("kind"), F.col("term").alias("t"), F.lit(False).alias("suspicious")),
+        *[out[k].select(F.lit(k).alias("kind"), F.col("document").alias("t"), F.lit(False).alias("suspicious")) for k in ("archival", "study")],
+    ]
+    # one small table a part: the plans of both documents are large, and the driver holds one at a time
+    counted = [pipeline.table(p.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("n_chars"), F.count_if("suspicious").alias("suspicious")), fresh_path(spark, "counted")) for p in parts]
+    return reduce(DataFrame.unionByName, counted)
 
 
 QUERIES["x13_block_pipeline"] = x13_block_pipeline

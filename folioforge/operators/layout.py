@@ -5,6 +5,8 @@ Joins are by page first, so a box only meets boxes of its own page.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from ..functions import assembly
 from ..functions.dialect import Dialect
 from .template import Operator
@@ -42,13 +44,21 @@ unions = Operator(lambda d: "SELECT page, min(x0) AS x0, min(y0) AS y0, max(x1)
 smallest = Operator(lambda d: "SELECT page, box_id, area FROM (SELECT page, box_id, (x1 - x0) * (y1 - y0) AS area, row_number() OVER (PARTITION BY page ORDER BY (x1 - x0) * (y1 - y0), box_id) AS rn FROM @boxes@) WHERE rn = 1")
 columns = Operator(lambda d: f"SELECT page, box_id, CAST({column(600, 'x0', 'x1', 'left')} AS BIGINT) AS from_x, CAST({column(600, 'x0', 'x1', 'right')} AS BIGINT) AS to_x FROM @boxes@")
 
-#: What stands above a caption in its column: the union of these boxes, widened to the column, or a default height.
-crops = Operator(
-    lambda d: f"WITH c AS (SELECT page, box_id, y0, y1, {column(600, 'x0', 'x1', 'left')} AS lx, {column(600, 'x0', 'x1', 'right')} AS rx FROM @boxes@ WHERE box_id % 7 = 0),"
-    " u AS (SELECT c.page, c.box_id, min(b.x0) AS x0, min(b.y0) AS y0, max(b.x1) AS x1 FROM c JOIN @boxes@ b ON b.page = c.page AND b.box_id <> c.box_id AND b.x1 >= c.lx AND b.x0 <= c.rx AND b.y1 <= c.y0 + 2 AND b.y1 > c.y0 - 180 GROUP BY c.page, c.box_id)"
-    " SELECT c.page, c.box_id, CAST(greatest(0, coalesce(least(c.lx, u.x0), c.lx)) AS BIGINT) AS x0, CAST(greatest(0, coalesce(u.y0 - 6, c.y0 - 220)) AS BIGINT) AS y0, CAST(least(600, coalesce(greatest(c.rx, u.x1), c.rx)) AS BIGINT) AS x1, CAST(c.y1 + 10 AS BIGINT) AS y1"
-    " FROM c LEFT JOIN u ON u.page = c.page AND u.box_id = c.box_id"
-)
+CAPTION = r"^\s*(?:Figure|Fig\.|Table)\s+[0-9]+"
+
+
+def is_caption(d: Dialect) -> str:
+    return d.rx("hint", CAPTION)
+
+
+def crops(caption: Callable[[Dialect], str] = is_caption) -> Operator:
+    """What stands above a caption in its column: the union of these boxes, widened to the column, or a default height. caption: which boxes are captions, by their text unless the caller has a column that says so."""
+    return Operator(
+        lambda d: f"WITH c AS (SELECT page, box_id, y0, y1, {column(600, 'x0', 'x1', 'left')} AS lx, {column(600, 'x0', 'x1', 'right')} AS rx FROM @boxes@ WHERE {caption(d)}),"
+        " u AS (SELECT c.page, c.box_id, min(b.x0) AS x0, min(b.y0) AS y0, max(b.x1) AS x1 FROM c JOIN @boxes@ b ON b.page = c.page AND b.box_id <> c.box_id AND b.x1 >= c.lx AND b.x0 <= c.rx AND b.y1 <= c.y0 + 2 AND b.y1 > c.y0 - 180 GROUP BY c.page, c.box_id)"
+        " SELECT c.page, c.box_id, CAST(greatest(0, coalesce(least(c.lx, u.x0), c.lx)) AS BIGINT) AS x0, CAST(greatest(0, coalesce(u.y0 - 6, c.y0 - 220)) AS BIGINT) AS y0, CAST(least(600, coalesce(greatest(c.rx, u.x1), c.rx)) AS BIGINT) AS x1, CAST(c.y1 + 10 AS BIGINT) AS y1"
+        " FROM c LEFT JOIN u ON u.page = c.page AND u.box_id = c.box_id"
+    )
 
 
 def _layout_document(d: Dialect) -> str:

@@ -53,8 +53,11 @@ ENDS = {
     "tbody": (frozenset(("tbody", "td", "tfoot", "th", "thead", "tr")), frozenset(("table",))),
     "tfoot": (frozenset(("tbody", "td", "tfoot", "th", "thead", "tr")), frozenset(("table",))),
 }
-_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*+)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>)", re.S)
-_ATTR = re.compile(r"(class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++))", re.I)
+#: Attributes as HTML reads them: a quote opens a value only right after "=", elsewhere it is part of a name or of an unquoted value.
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+|(?=>))"
+_ATTRS = rf"(?:[ \t\n\r\f/]++|(?:=[^ \t\n\r\f/>=]*+|[^ \t\n\r\f/>=]++)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+{_VALUE}|(?![ \t\n\r\f]*+=)))*+"
+_TAG = re.compile(rf"<(?:!--(?:.*?--!?>|.*+)|[!?][^>]*+>?|(/?)([a-zA-Z][^\s/>]*+)({_ATTRS})>)", re.S)
+_ATTR = re.compile(r"(class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))", re.I)
 _SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 _HINTS = tuple(
     re.compile(p, re.I)

@@ -78,3 +78,52 @@ def test_edge_rows(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert op2_html_text(spark, str(tmp_path)).collect() == []
+
+
+def plain_tag_end(s):
+    """Where the opening tag at the start of s ends, by the states of the HTML standard; None if it does not."""
+    white, k, state = " \t\n\r\f", 2, "before"
+    while k < len(s):
+        c = s[k]
+        if state in "\"'":
+            if c == state:
+                state = "before"
+        elif state == "value" and c in "\"'":
+            state = c
+        elif c == ">":
+            return k + 1
+        elif state == "value":
+            state = state if c in white else "unquoted"
+        elif state == "unquoted":
+            state = "before" if c in white else state
+        elif state == "before":
+            state = state if c in white + "/" else "name"
+        else:  # in a name, or behind one
+            if c == "=":
+                state = "value"
+            elif c == "/":
+                state = "before"
+            elif c in white:
+                state = "after"
+            else:
+                state = "name"
+        k += 1
+    return None
+
+
+def test_stray_quotes_open_no_value():
+    text = lambda s: [t for t in h.parse(s).text if t]
+    assert text("<p title=don't>One.</p><p>Two.</p>") == ["One.", "Two."]
+    assert text('<img alt=5" src=x><p>All the article.</p>') == ["All the article."]
+    assert text('<p class="a"">one two</p><p class="b">three</p>') == ["one two", "three"]
+    assert text('<p a="1>2"=b c = \'>\' d=>x</p>') == ["x"]
+
+
+def test_tags_end_where_html_ends_them():
+    import random
+
+    r = random.Random(0)
+    for _ in range(100_000):
+        s = "<p" + r.choice(" /\n") + "".join(r.choice("ab=='\"\"> />") for _ in range(r.randrange(14)))
+        m = h._TAG.match(s)
+        assert (m.end() if m else None) == plain_tag_end(s), s

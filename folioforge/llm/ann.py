@@ -2,8 +2,8 @@
 
 A table rotates unit vectors by three rounds of random signs and a fast
 Hadamard transform and files each under the signed axis it is nearest to. A
-query looks under its `probes` nearest signed axes in each of `tables` tables;
-what it meets there is ranked anew by the exact measure, the cosine in double
+query looks under its `probes` nearest signed axes in each of `tables` tables
+(more for over 64 dimensions, see probed()); what it meets there is ranked anew by the exact measure, the cosine in double
 precision on the vectors as given.
 
 Every row is indexed and nothing is capped. Equal vectors have equal scores and
@@ -11,7 +11,8 @@ ties go to smaller ids, so of a group of equal vectors the k+1 rows with
 the least ids are filed and no answer changes. A bucket over `most` rows is cut
 into chunks, candidates and queries alike, and each pair of chunks is a task
 of its own; a task hands on its k best for each query. A query that finds
-fewer than k rows (small tables) is compared to all rows, in blocks.
+fewer than k rows, or whose length of vector at most `few` rows have, is
+compared to all rows, in blocks.
 
 Rows with a null id or vector, with null, NaN or infinite components, or with
 norm 0 take no part. Only vectors of equal length are compared. Rows equal in
@@ -21,6 +22,8 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -118,8 +121,13 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return one.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def nearest(df: DataFrame, is_query, k: int = 5, tables: int = 8, probes: int = 10, most: int = 20_000, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each row for which is_query (a column of its id) holds."""
+def probed(axes: int, probes: int) -> int:
+    """Buckets a query asks of each table: `probes` up to 128 signed axes (64 dimensions), beyond them more than in proportion, as the nearest axes say less there."""
+    return min(axes, max(probes, math.ceil(probes * (axes / 128) ** 1.2)))
+
+
+def nearest(df: DataFrame, is_query, k: int = 5, tables: int = 8, probes: int = 10, most: int = 20_000, seed: int = 0, few: int = 1_000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each row for which is_query (a column of its id) holds. Vectors of a length that at most `few` rows have are all compared."""
     ship(df.sparkSession)
     src = df.select(df[id_col].cast("long").alias("id"), df[vector_col].cast("array<float>").alias("vector")).where("id IS NOT NULL AND vector IS NOT NULL AND size(vector) > 0")
     src = src.where("forall(vector, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < float('infinity')) AND exists(vector, x -> x <> 0)")
@@ -139,7 +147,7 @@ def nearest(df: DataFrame, is_query, k: int = 5, tables: int = 8, probes: int =
                 for t in range(tables):
                     near = axes(x, t, seed)
                     home = near.argmax(1)
-                    some = min(probes, near.shape[1])
+                    some = probed(near.shape[1], probes)
                     asked = np.flatnonzero(query[at])
                     seen = np.argpartition(-near[asked], some - 1, axis=1)[:, :some] if some < near.shape[1] else np.tile(np.arange(some), (len(asked), 1))
                     put = np.flatnonzero(filed[at])
@@ -152,7 +160,10 @@ def nearest(df: DataFrame, is_query, k: int = 5, tables: int = 8, probes: int =
 
     filed = src.mapInArrow(run, ROWS)
     found = saved(_ranked(_compare(_in_chunks(filed, most), k), k), "found")
-    short = src.where("query").select("id").join(found.groupBy("query_id").agg(F.count("*").alias("n")), F.col("id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < k).select("id").distinct()
+    short = src.where("query").select("id").join(found.groupBy("query_id").agg(F.count("*").alias("n")), F.col("id") == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < k).select("id")
+    # one row for each length of vectors that is rare
+    rare = src.where("filed").groupBy(F.size("vector").alias("d")).count().where(F.col("count") <= few).select("d")
+    short = short.unionByName(src.where("query").join(F.broadcast(rare), F.size("vector") == F.col("d"), "left_semi").select("id")).distinct()
     short = saved(short, "short")
     if not short.isEmpty():
         every = src.where("filed").select(F.size("vector").cast("long").alias("task"), F.lit(False).alias("query"), "id", "vector")

@@ -74,3 +74,24 @@ def test_large_buckets_are_cut(spark):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert op10_nearest_vectors(spark, str(tmp_path)).collect() == []
+
+
+def recall_of(rows, df, every):
+    want, got = brute(rows, every=every), shown(ann.nearest(df, lambda i: i % every == 0))
+    return np.mean([len({j for j, _ in got[q]} & {j for j, _ in want[q]}) / len(want[q]) for q in want])
+
+
+def test_recall_of_small_tables(spark):
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+        recall = recall_of([(r.vec_id, r.embedding) for r in df.collect()], df, 50)
+        print(sf, df.count(), "recall", recall)
+        assert recall >= 0.9, sf
+
+
+def test_recall_of_long_vectors(spark):
+    x = np.random.default_rng(1).normal(size=(3000, 384)).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    recall = recall_of(rows, spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4), 100)
+    print("384", recall)
+    assert recall >= 0.9

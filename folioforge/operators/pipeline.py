@@ -12,7 +12,7 @@ from ..functions.dialect import SPARK as D
 from . import english_repair, glossary, planning, providers, segment
 
 
-def table(df: DataFrame, path: str) -> DataFrame:
+def _table(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -48,7 +48,7 @@ def translated_blocks(blocks: DataFrame, provider: Callable[[], providers.Provid
     asked = blocks.where("ready IS NULL").selectExpr("doc_id", "block_id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", f"{translation.masked(D, 'source')} AS masked", f"{translation.protected_spans(D, 'source')} AS spans")
     cut = asked.selectExpr("doc_id", "block_id", "kind", "section", f"{planning.packed(D, 'masked')} AS c")
     chunks = cut.selectExpr("doc_id", "block_id", "kind", "section", "size(c) AS total", "posexplode(c) AS (chunk, text)").withColumn("id", F.concat_ws("__", "doc_id", "block_id", "chunk"))
-    answers = table(providers.call(prompted(chunks, terms, "text"), provider, "id", "text", prompt_col="prompt"), path)
+    answers = _table(providers.call(prompted(chunks, terms, "text"), provider, "id", "text", prompt_col="prompt"), path)
     parts = chunks.select("id", "doc_id", "block_id", "chunk").join(answers, "id")
     joined = parts.groupBy("doc_id", "block_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "answer"))).alias("p")).selectExpr("doc_id", "block_id", "transform(p, e -> e.answer) AS p")
     done = asked.join(joined, ["doc_id", "block_id"], "left").selectExpr("doc_id", "block_id", f"{translation.restored(D, '(' + translation.response_chunk(D, 'kind', 'coalesce(p, array())') + ')', 'spans')} AS answer")
@@ -60,7 +60,7 @@ def repaired_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider
     """Only suspicious drafts are asked for again, with the terms of the glossary; an empty or failed answer keeps the draft. `still` tells whether the result is suspicious itself."""
     marked = blocks.selectExpr("*", f"{translation.is_suspicious(D, 'source', 'translated', 'kind')} AS suspicious").withColumn("id", F.concat_ws("__", "doc_id", "block_id"))
     asked = marked.where("suspicious").selectExpr("doc_id", "id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", "0 AS chunk", "1 AS total", "source")
-    answers = table(providers.call(prompted(asked, terms, "source"), provider, "id", "source", prompt_col="prompt"), path).where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
+    answers = _table(providers.call(prompted(asked, terms, "source"), provider, "id", "source", prompt_col="prompt"), path).where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
     out = marked.join(answers.withColumnRenamed("answer", "repaired"), "id", "left").withColumn("translated", F.coalesce("repaired", "translated"))
     return out.selectExpr("*", f"{translation.is_suspicious(D, 'source', 'translated', 'kind')} AS still").drop("id")
 
@@ -80,11 +80,11 @@ def documents(blocks: DataFrame, study: bool = False) -> DataFrame:
 def run_papers(candidates: DataFrame, provider: Callable[[], providers.Provider], folder: str, repaired_input: bool = False) -> dict[str, DataFrame]:
     """Sources of papers to archival and study documents; folder takes the tables. repaired_input: segment the repaired English text instead of the cleaned one."""
     spark = candidates.sparkSession
-    best = table(best_source(candidates), f"{folder}/best")
-    cleaned = table(segment.clean_paragraphs(spark, lines=segment.lines_of(best.select("doc_id", "text"))).select("doc_id", "text"), f"{folder}/cleaned")
-    english = table(cleaned.withColumn("text", english_repair.repair(F.col("text"))), f"{folder}/english")
-    terms = table(glossary.build(spark, lines=segment.lines_of(english)), f"{folder}/glossary")
-    blocks = table(segment.segment(spark, prose=segment.prose_of(segment.lines_of(english if repaired_input else cleaned))), f"{folder}/blocks")
+    best = _table(best_source(candidates), f"{folder}/best")
+    cleaned = _table(segment.clean_paragraphs(spark, lines=segment.lines_of(best.select("doc_id", "text"))).select("doc_id", "text"), f"{folder}/cleaned")
+    english = _table(cleaned.withColumn("text", english_repair.repair(F.col("text"))), f"{folder}/english")
+    terms = _table(glossary.build(spark, lines=segment.lines_of(english)), f"{folder}/glossary")
+    blocks = _table(segment.segment(spark, prose=segment.prose_of(segment.lines_of(english if repaired_input else cleaned))), f"{folder}/blocks")
     drafted = translated_blocks(blocks, provider, f"{folder}/answers", terms=terms)
-    final = table(repaired_blocks(drafted, provider, f"{folder}/repairs", terms), f"{folder}/final")
+    final = _table(repaired_blocks(drafted, provider, f"{folder}/repairs", terms), f"{folder}/final")
     return {"best": best, "cleaned": cleaned, "english": english, "glossary": terms, "blocks": blocks, "final": final, "archival": documents(final), "study": documents(final, study=True)}

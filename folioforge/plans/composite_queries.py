@@ -134,9 +134,7 @@ def x13_block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         out["glossary"].select(F.concat(F.lit("glossary: "), "policy").alias("kind"), F.col("term").alias("t"), F.lit(False).alias("suspicious")),
         *[out[k].select(F.lit(k).alias("kind"), F.col("document").alias("t"), F.lit(False).alias("suspicious")) for k in ("archival", "study")],
     ]
-    # one small table a part: the plans of both documents are large, and the driver holds one at a time
-    counted = [pipeline.table(p.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("n_chars"), F.count_if("suspicious").alias("suspicious")), fresh_path(spark, "counted")) for p in parts]
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, parts).groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("n_chars"), F.count_if("suspicious").alias("suspicious"))
 
 
 QUERIES["x13_block_pipeline"] = x13_block_pipeline

@@ -180,7 +180,8 @@ class Duck(Dialect):
         return f"({a})[1:{n}]"
 
     def minus(self, a: str, b: str) -> str:
-        return f"list_filter(list_distinct({a}), lambda e: NOT list_contains({b}, e))"
+        # both lists once, not b anew for every item of a
+        return f"list_transform([{{'a': list_distinct({a}), 'b': list_distinct({b})}}], lambda p: list_filter(p.a, lambda e: NOT list_contains(p.b, e)))[1]"
 
     def idiv(self, a: str, b: str) -> str:
         return f"({a} // {b})"

@@ -88,15 +88,18 @@ def heading_name(d: Dialect, x: str) -> str:
     return f"CASE WHEN {d.rx(s, MARKDOWN)} THEN {d.strip(d.extract(s, MARKDOWN, 2))} ELSE {s} END"
 
 
-def is_heading(d: Dialect, x: str, before_abstract: str = "false") -> str:
-    s = d.strip(x)
-    n = heading_name(d, x)
+def heading_of(d: Dialect, s: str, n: str, before_abstract: str = "false") -> str:
+    """s: the stripped line, n: its heading name."""
     return (
-        f"(({n}) <> '' AND NOT {d.in_(s, (TITLE_LINE, CONTENT_MARKER))} AND NOT {d.starts(s, SOURCE_PREFIX)} AND ({d.rx(s, MARKDOWN)} OR {d.in_(f'({n})', ('Abstract', 'References'))}"
-        f" OR ({before_abstract} AND {d.ends(f'({n})', '?')}) OR {d.rx(f'({n})', NUMBERED)} OR ({d.rx(f'({n})', APPENDIX)} AND length({n}) > 8)))"
+        f"({n} <> '' AND NOT {d.in_(s, (TITLE_LINE, CONTENT_MARKER))} AND NOT {d.starts(s, SOURCE_PREFIX)} AND ({d.rx(s, MARKDOWN)} OR {d.in_(n, ('Abstract', 'References'))}"
+        f" OR ({before_abstract} AND {d.ends(n, '?')}) OR {d.rx(n, NUMBERED)} OR ({d.rx(n, APPENDIX)} AND length({n}) > 8)))"
     )
 
 
+def is_heading(d: Dialect, x: str, before_abstract: str = "false") -> str:
+    return heading_of(d, d.strip(x), f"({heading_name(d, x)})", before_abstract)
+
+
 def is_figure(d: Dialect, x: str) -> str:
     return d.rx(d.strip(x), FIGURE)
 
@@ -110,36 +113,45 @@ def is_code(d: Dialect, x: str) -> str:
     return f"({d.starts(s, '```')} OR ({d.starts(x, '    ')} AND {s} <> ''))"
 
 
-def is_equation(d: Dialect, x: str) -> str:
-    s = d.strip(x)
+def equation_of(d: Dialect, s: str, taken: str) -> str:
+    """s: the stripped line; taken: whether it is a caption or a heading."""
     n = words(d, s)
     return (
-        f"({s} <> '' AND NOT {is_figure(d, x)} AND NOT {is_table(d, x)} AND NOT {is_heading(d, x)} AND CASE WHEN {d.starts(s, '$')} AND {d.ends(s, '$')} THEN true"
+        f"({s} <> '' AND NOT {taken} AND CASE WHEN {d.starts(s, '$')} AND {d.ends(s, '$')} THEN true"
         f" WHEN {d.has(s, '=')} THEN {n} <= 12 AND length({s}) <= 80 WHEN {d.any_of(s, STRONG_SYMBOLS)} THEN {n} <= 12"
         f" ELSE {d.count(s, SYMBOL)} >= 2 AND {n} <= 10 AND length({s}) <= 64 END)"
     )
 
 
+def is_equation(d: Dialect, x: str) -> str:
+    return equation_of(d, d.strip(x), f"({is_figure(d, x)} OR {is_table(d, x)} OR {is_heading(d, x)})")
+
+
 def is_note(d: Dialect, x: str) -> str:
     s = d.strip(x)
     return f"({d.rx(s, NOTE)} OR {s} = 'Equal contribution')"
 
 
-def line_class(d: Dialect, x: str, before_abstract: str, in_references: str) -> str:
-    s = d.strip(x)
+def class_of(d: Dialect, s: str, heading: str, figure: str, table: str, in_references: str, code: str, equation: str, note: str) -> str:
+    """The class of a line s from what it is found to be, the first that holds."""
     return (
-        f"CASE WHEN {is_heading(d, x, before_abstract)} THEN 'heading' WHEN {is_figure(d, x)} THEN 'figure' WHEN {is_table(d, x)} THEN 'table' WHEN {in_references} THEN 'reference'"
-        f" WHEN {is_code(d, x)} THEN 'code' WHEN {is_equation(d, x)} THEN 'equation' WHEN {is_note(d, x)} THEN 'unknown'"
+        f"CASE WHEN {heading} THEN 'heading' WHEN {figure} THEN 'figure' WHEN {table} THEN 'table' WHEN {in_references} THEN 'reference'"
+        f" WHEN {code} THEN 'code' WHEN {equation} THEN 'equation' WHEN {note} THEN 'unknown'"
         f" WHEN length({s}) <= 2 AND NOT {d.rx(s, r'^\p{L}+$')} THEN 'unknown' ELSE 'paragraph' END"
     )
 
 
+def line_class(d: Dialect, x: str, before_abstract: str, in_references: str) -> str:
+    return class_of(d, d.strip(x), is_heading(d, x, before_abstract), is_figure(d, x), is_table(d, x), in_references, is_code(d, x), is_equation(d, x), is_note(d, x))
+
+
+def caption_goes_on(d: Dialect, previous: str, s: str, starts: str, gap: str) -> str:
+    """previous, s: stripped; starts: whether s is a heading, begins a caption or stands in the references."""
+    return f"(NOT {starts} AND NOT {d.rx(previous, '[.!?]$')} AND (NOT {gap} OR {d.lower_start(s)} OR {d.any_of(s, PANELS)}))"
+
+
 def continues_caption(d: Dialect, previous: str, x: str, gap: str, before_abstract: str, in_references: str) -> str:
-    s = d.strip(x)
-    return (
-        f"(NOT {is_heading(d, x, before_abstract)} AND NOT {is_figure(d, x)} AND NOT {is_table(d, x)} AND NOT {in_references} AND NOT {d.rx(d.strip(previous), '[.!?]$')}"
-        f" AND (NOT {gap} OR {d.lower_start(s)} OR {d.any_of(s, PANELS)}))"
-    )
+    return caption_goes_on(d, d.strip(previous), d.strip(x), f"({is_heading(d, x, before_abstract)} OR {is_figure(d, x)} OR {is_table(d, x)} OR {in_references})", gap)
 
 
 def continues_paragraph(d: Dialect, previous: str, x: str, kind: str) -> str:

@@ -19,7 +19,7 @@ def _table(df: DataFrame, path: str) -> DataFrame:
 
 def best_source(candidates: DataFrame) -> DataFrame:
     """candidates (doc_id, name, priority, raw) -> (doc_id, name, score, text): the best-scored source of each paper, its content cleaned; ties go to the lower priority."""
-    scored = candidates.selectExpr("*", f"{segment.score(D, 'raw')} AS score").where("score IS NOT NULL")
+    scored = candidates.selectExpr("*", f"{segment.source_rows(D, 'raw')} AS rs").selectExpr("*", f"{segment.score(D, 'raw', 'rs')} AS score").where("score IS NOT NULL").drop("rs")
     best = scored.groupBy("doc_id").agg(F.max_by(F.struct("name", "score", "raw"), F.struct("score", -F.col("priority"))).alias("b")).select("doc_id", "b.*")
     return best.selectExpr("doc_id", "name", "score", f"{lines.unwrap(D, 'raw')} AS text")
 
@@ -68,12 +68,13 @@ def repaired_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider
 def documents(blocks: DataFrame, study: bool = False) -> DataFrame:
     """blocks with translated and repaired -> (doc_id, document) in Markdown."""
     if study:
-        text = assembly.study_choice(D, assembly.study(D, "source"), assembly.preferred_study(D, "repaired", "translated"), "kind")
-        rows = blocks.selectExpr("doc_id", "block", f"{assembly.study_rendered(D, '(' + text + ')', 'kind', 'section')} AS chunk")
+        rows = blocks.selectExpr("doc_id", "block", "kind", "section", f"{assembly.study(D, 'source')} AS s", f"{assembly.preferred_study(D, 'repaired', 'translated')} AS p")
+        rows = rows.selectExpr("doc_id", "block", "kind", "section", f"{assembly.study_choice(D, 's', 'p', 'kind')} AS t").selectExpr("doc_id", "block", f"{assembly.study_rendered(D, 't', 'kind', 'section')} AS chunk")
     else:
-        text = assembly.archival_choice(D, assembly.archival(D, "source"), assembly.archival(D, "coalesce(repaired, translated, '')"), "kind")
-        rows = blocks.selectExpr("doc_id", "block", "kind", "section", f"{text} AS t").selectExpr("doc_id", "block", f"{assembly.rendered(D, 't', 'kind', 'section')} AS chunk")
-    rows = rows.where("trim(chunk) <> ''").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block", "chunk"))).alias("c"))
+        rows = blocks.selectExpr("doc_id", "block", "kind", "section", f"{assembly.archival(D, 'source')} AS s", "coalesce(repaired, translated, '') AS draft").selectExpr("*", f"{assembly.archival(D, 'draft')} AS p")
+        rows = rows.selectExpr("doc_id", "block", "kind", "section", f"{assembly.archival_choice(D, 's', 'p', 'kind')} AS t").selectExpr("doc_id", "block", f"{assembly.rendered(D, 't', 'kind', 'section')} AS chunk")
+    # told inside the aggregate: as a filter below it the chunk would be made twice
+    rows = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.trim("chunk") != "", F.struct("block", "chunk")))).alias("c")).where("size(c) > 0")
     return rows.selectExpr("doc_id", "concat(array_join(transform(c, e -> e.chunk), '\\n\\n'), '\\n') AS document")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import translation
 from ..functions.dialect import Dialect
-from .template import Operator
+from .template import Operator, folded
 
 MOST = 180
 BATCH, BUDGET = 8, 1000
@@ -16,21 +16,21 @@ def packed(d: Dialect, x: str, most: int = MOST) -> str:
     mark = "\x1e"
     parts = d.filter(d.map(d.split(d.sub(t, r"([.!?。！？])\s+", "\\1" + mark), mark), "p", d.strip("p")), "p", "p <> ''")
     if d.name == "spark":
-        step = f"CASE WHEN size(a) = 0 THEN array(p) WHEN length(element_at(a, -1)) + 1 + length(p) <= {most} THEN concat(slice(a, 1, size(a) - 1), array(concat(element_at(a, -1), ' ', p))) ELSE concat(a, array(p)) END"
-        folded = f"aggregate({parts}, CAST(array() AS ARRAY<STRING>), (a, p) -> {step})"
-        cut = f"flatten(transform({folded}, c -> transform(sequence(1, length(c), {most}), i -> substring(c, i, {most}))))"
+        fits = f"@s IS NOT NULL AND length(@s) + 1 + length(x) <= {most}"
+        chunks = folded(parts, "CAST(NULL AS STRING)", f"CASE WHEN {fits} THEN concat(@s, ' ', x) ELSE x END", f"CASE WHEN @s IS NULL OR ({fits}) THEN CAST(array() AS ARRAY<STRING>) ELSE array(@s) END", "STRING", "CASE WHEN @s IS NULL THEN CAST(array() AS ARRAY<STRING>) ELSE array(@s) END")
+        cut = f"flatten(transform({chunks}, c -> transform(sequence(1, length(c), {most}), i -> substring(c, i, {most}))))"
         return f"CASE WHEN {t} = '' THEN CAST(array() AS ARRAY<STRING>) WHEN length({t}) <= {most} THEN array({t}) ELSE {cut} END"
-    folded = f"list_reduce(list_transform({parts}, lambda p: [p]), lambda a, p: CASE WHEN length(a[-1]) + 1 + length(p[1]) <= {most} THEN list_append(a[:-2], a[-1] || ' ' || p[1]) ELSE list_append(a, p[1]) END)"
-    cut = f"flatten(list_transform({folded}, lambda c: list_transform(range(1, length(c) + 1, {most}), lambda i: substr(c, i, {most}))))"
+    chunks = f"list_reduce(list_transform({parts}, lambda p: [p]), lambda a, p: CASE WHEN length(a[-1]) + 1 + length(p[1]) <= {most} THEN list_append(a[:-2], a[-1] || ' ' || p[1]) ELSE list_append(a, p[1]) END)"
+    cut = f"flatten(list_transform({chunks}, lambda c: list_transform(range(1, length(c) + 1, {most}), lambda i: substr(c, i, {most}))))"
     return f"CASE WHEN {t} = '' THEN CAST([] AS VARCHAR[]) WHEN length({t}) <= {most} THEN [{t}] ELSE {cut} END"
 
 
 def batch_numbers(d: Dialect, sizes: str, most: int = BATCH, budget: int = BUDGET) -> str:
     """The request, from 1, of each item of an array of sizes: a new one when `most` items or `budget` characters would be passed. The sum starts anew with each request, so no running sum will do."""
     if d.name == "spark":
-        full = f"a.n > 0 AND (a.n >= {most} OR a.chars + s > {budget})"
-        step = f"CASE WHEN {full} THEN named_struct('b', a.b + 1, 'n', 1L, 'chars', s, 'done', concat(a.done, array(a.b + 1))) ELSE named_struct('b', a.b, 'n', a.n + 1, 'chars', a.chars + s, 'done', concat(a.done, array(a.b))) END"
-        return f"aggregate({sizes}, named_struct('b', 1L, 'n', 0L, 'chars', 0L, 'done', CAST(array() AS ARRAY<BIGINT>)), (a, s) -> {step}).done"
+        full = f"@s.n > 0 AND (@s.n >= {most} OR @s.chars + x > {budget})"
+        step = f"CASE WHEN {full} THEN named_struct('b', @s.b + 1, 'n', 1L, 'chars', x) ELSE named_struct('b', @s.b, 'n', @s.n + 1, 'chars', @s.chars + x) END"
+        return folded(sizes, "named_struct('b', 1L, 'n', 0L, 'chars', 0L)", step, f"array(CASE WHEN {full} THEN @s.b + 1 ELSE @s.b END)", "BIGINT")
     full = f"a[2] > 0 AND (a[2] >= {most} OR a[3] + s[1] > {budget})"
     step = f"CASE WHEN {full} THEN list_concat([a[1] + 1, 1, s[1]], list_append(a[4:], a[1] + 1)) ELSE list_concat([a[1], a[2] + 1, a[3] + s[1]], list_append(a[4:], a[1])) END"
     return f"list_reduce(list_transform({sizes}, lambda z: [CAST(z AS BIGINT)]), lambda a, s: {step}, [CAST(1 AS BIGINT), 0, 0])[4:]"

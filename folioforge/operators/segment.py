@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import assembly, lines
 from ..functions.dialect import SPARK, Dialect, columns_of
-from .template import Operator
+from .template import Operator, folded
 
 NL = chr(10)
 
@@ -28,13 +28,17 @@ def prose_of(numbered: DataFrame) -> DataFrame:
 
 
 def _typed(d: Dialect) -> str:
-    kind = lines.line_class(d, "line", "before_abstract", "in_references")
-    previous = "coalesce(previous, '')"
+    """(doc_id, line_no, line, kind and whether a block of each state goes on with the line). What a line is found to be is made once, as columns."""
+    stripped = f"SELECT doc_id, line_no, line, gap, before_abstract, in_references, {d.strip('line')} AS s, {lines.heading_name(d, 'line')} AS n, coalesce(previous, '') AS previous, {d.strip('coalesce(previous, ' + d.text('') + ')')} AS p FROM @prose@"
+    found = (
+        f"SELECT *, {lines.heading_of(d, 's', 'n')} AS head, {lines.heading_of(d, 's', 'n', 'before_abstract')} AS head_here, {d.rx('s', lines.FIGURE)} AS figure, {d.rx('s', lines.TABLE)} AS is_table,"
+        f" {lines.is_code(d, 'line')} AS code, {lines.is_note(d, 's')} AS note FROM ({stripped})"
+    )
+    marked = f"SELECT *, {lines.equation_of(d, 's', '(figure OR is_table OR head)')} AS equation FROM ({found})"
+    classed = f"SELECT *, {lines.class_of(d, 's', 'head_here', 'figure', 'is_table', 'in_references', 'code', 'equation', 'note')} AS kind FROM ({marked})"
     return (
-        f"SELECT doc_id, line_no, line, kind, {lines.continues_caption(d, previous, 'line', 'gap', 'before_abstract', 'in_references')} AS caption,"
-        f" {lines.is_equation(d, 'line')} AS equation, {lines.is_code(d, 'line')} AS code,"
-        f" NOT {lines.is_heading(d, 'line')} AND NOT {lines.starts_reference(d, previous, 'line')} AS reference, {lines.continues_paragraph(d, previous, 'line', 'kind')} AS prose"
-        f" FROM (SELECT *, {kind} AS kind FROM @prose@)"
+        f"SELECT doc_id, line_no, line, kind, {lines.caption_goes_on(d, 'p', 's', '(head_here OR figure OR is_table OR in_references)', 'gap')} AS caption,"
+        f" equation, code, NOT head AND NOT {lines.starts_reference(d, 'previous', 'line')} AS reference, {lines.continues_paragraph(d, 'previous', 'line', 'kind')} AS prose FROM ({classed})"
     )
 
 
@@ -44,12 +48,18 @@ _GOES_ON = "CASE {s} WHEN 'figure' THEN {x}.caption WHEN 'table' THEN {x}.captio
 def _numbered(d: Dialect) -> str:
     """(doc_id, line_no, line, state, block): a block goes on as long as the rule of its state holds."""
     if d.name == "spark":
-        on = _GOES_ON.format(s="a.state", x="x")
-        step = f"CASE WHEN {on} THEN named_struct('state', a.state, 'block', a.block, 'done', concat(a.done, array(named_struct('line_no', x.line_no, 'line', x.line, 'state', a.state, 'block', a.block)))) ELSE named_struct('state', x.kind, 'block', a.block + 1, 'done', concat(a.done, array(named_struct('line_no', x.line_no, 'line', x.line, 'state', x.kind, 'block', a.block + 1)))) END"
-        zero = "named_struct('state', '', 'block', 0, 'done', CAST(array() AS ARRAY<STRUCT<line_no: BIGINT, line: STRING, state: STRING, block: INT>>))"
+        on = _GOES_ON.format(s="@s.state", x="x")
+        state, block = f"CASE WHEN {on} THEN @s.state ELSE x.kind END", f"CASE WHEN {on} THEN @s.block ELSE @s.block + 1 END"
+        fold = folded(
+            "ls",
+            "named_struct('state', '', 'block', 0)",
+            f"named_struct('state', {state}, 'block', {block})",
+            f"array(named_struct('line_no', x.line_no, 'line', x.line, 'state', {state}, 'block', {block}))",
+            "STRUCT<line_no: BIGINT, line: STRING, state: STRING, block: INT>",
+        )
         return (
             f"typed AS ({_typed(d)}), papers_ AS (SELECT doc_id, array_sort(collect_list(struct(line_no, line, kind, caption, equation, code, reference, prose))) AS ls FROM typed GROUP BY doc_id),"
-            f" numbered AS (SELECT doc_id, e.line_no, e.line, e.state, e.block FROM (SELECT doc_id, explode(aggregate(ls, {zero}, (a, x) -> {step}).done) AS e FROM papers_))"
+            f" numbered AS (SELECT doc_id, e.line_no, e.line, e.state, e.block FROM (SELECT doc_id, explode({fold}) AS e FROM papers_))"
         )
     on = _GOES_ON.format(s="f.state", x="t")
     return (
@@ -141,16 +151,20 @@ clean_paragraphs = Operator(lambda d: f"WITH {reflowed(d)} SELECT doc_id, n_bloc
 # --- scoring and rendering ---------------------------------------------------------
 
 
-def score(d: Dialect, x: str) -> str:
-    """How good a text source is; null where it has no text."""
-    rows = d.filter(d.map(d.split(lines.normalize_whitespace(d, x), NL), "l", d.strip("l")), "l", "l <> ''")
+def source_rows(d: Dialect, x: str) -> str:
+    """The lines of a text that are not blank, as an array: what score() counts."""
+    return d.filter(d.map(d.split(lines.normalize_whitespace(d, x), NL), "l", d.strip("l")), "l", "l <> ''")
+
+
+def score(d: Dialect, x: str, rows: str) -> str:
+    """How good a text source is; null where it has no text. rows: source_rows(), made once as a column."""
     noise = d.size(d.filter(rows, "l", lines.is_noise(d, "l")))
     has = lambda s, v: f"CASE WHEN {d.has(x, s)} THEN {v} ELSE 0 END"
     times = lambda s: f"({d.double(f'length({x}) - length(replace({x}, {d.text(s)}, {d.text(str())}))')} / {len(s)})"
     average = f"{d.double(d.total(rows, 'l', 'length(l)'))} / greatest(1, {d.size(rows)})"
     return (
         f"CASE WHEN {d.size(rows)} > 0 THEN least({d.double(f'length({x})')} / 1000, 80) + {has('Abstract', 10)} + {has('References', 10)} + {has('Introduction', 8)}"
-        f" - {d.double('1.5')} * {noise} - 4 * ({times(chr(0xFFFD))} + {times('cid:')}) - 2 * {times(chr(12))} + least(({average}) / 4, 20) END"
+        f" - {d.double('1.5')} * {noise} - 4 * ({times(chr(0xFFFD))} + {times('cid:')} + {times(chr(0))}) - 2 * {times(chr(12))} + least(({average}) / 4, 20) END"
     )
 
 
@@ -164,11 +178,13 @@ def rendered_blocks(d: Dialect) -> str:
 
 
 def _document(d: Dialect, table: str) -> str:
+    """Chunks that are not blank are told inside the aggregate: as a filter below it the chunk would be made twice."""
+    shown = f"{d.strip('chunk')} <> ''"
     if d.name == "spark":
-        joined = f"array_join(transform(array_sort(collect_list(struct(block, chunk))), e -> e.chunk), {d.text(NL + NL)})"
+        joined = f"array_join(transform(array_sort(collect_list(CASE WHEN {shown} THEN struct(block, chunk) END)), e -> e.chunk), {d.text(NL + NL)})"
     else:
-        joined = f"string_agg(chunk, {d.text(NL + NL)} ORDER BY block)"
-    return f"SELECT doc_id, count(*) AS n_blocks, concat({joined}, {d.text(NL)}) AS document FROM {table} WHERE {d.strip('chunk')} <> '' GROUP BY doc_id"
+        joined = f"string_agg(chunk, {d.text(NL + NL)} ORDER BY block) FILTER ({shown})"
+    return f"SELECT doc_id, count(CASE WHEN {shown} THEN 1 END) AS n_blocks, concat({joined}, {d.text(NL)}) AS document FROM {table} GROUP BY doc_id HAVING count(CASE WHEN {shown} THEN 1 END) > 0"
 
 
 assemble = over_blocks(lambda d: f", {rendered_blocks(d)} {_document(d, 'rendered')}")

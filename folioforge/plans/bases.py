@@ -2,8 +2,8 @@
 
 `documents` has no paper structure, so papers() derives a paper-like text from
 each row by one deterministic expression; pairs() derives blocks with drafts of
-a translation that show every kind of defect. Both are rendered from one
-definition for either engine.
+a translation that show every kind of defect. Both hold the whole text of a row
+and are rendered from one definition for either engine.
 """
 
 from __future__ import annotations
@@ -21,20 +21,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def paper_text(d: Dialect, whole: bool = False) -> str:
-    """whole: the body goes on to the end of the text, with the text's own lines, not to code point 130."""
+def paper_text(d: Dialect) -> str:
+    """The whole text, with its own lines, is the body of the paper."""
     t = d.text
-    rest = "substr(text, 71)" if whole else f"replace(substr(text, 71, 60), {t(NL)}, ' ')"
-    snip = lambda a, n: f"replace(substr(text, {a}, {n}), {t(NL)}, ' ')"
     parts = [
         "concat('What is topic ', doc_id, '?')",
         "concat('Ann Author and Bo Writer, Some University, ann', doc_id, '@example.org')",
         "CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE '[.]' END",
         "'v'",
         "CASE WHEN doc_id % 10 = 9 THEN 'Summary' ELSE 'Abstract' END",
-        f"concat({snip(1, 70)}, ' cut in the mid-')",
+        "concat(text, ' cut in the mid-')",
         "'dle of a word and goes on'",
-        f"concat('with ', {rest}, ' at its end.')",
+        "concat('with document ', doc_id, ' at its end.')",
         f"CASE WHEN doc_id % 7 = 0 THEN {t(' padded text​ with\ttabs\fand a form feed')} ELSE 'plain words follow here' END",
         "''",
         f"CASE WHEN doc_id % 4 = 0 THEN {t('1' + NL + NL + 'Introduction')} ELSE '1 Introduction' END",
@@ -75,11 +73,6 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{paper_text(SPARK)} AS text")
 
 
-def whole_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text): as papers(), with all of each text."""
-    return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{paper_text(SPARK, whole=True)} AS text")
-
-
 PAPERS = f"papers AS (SELECT doc_id, {paper_text(DUCK)} AS text FROM documents)"
 
 
@@ -108,7 +101,7 @@ def pair_columns(d: Dialect) -> str:
     kind = f"CASE WHEN {k} < 4 THEN 'heading' WHEN {k} = 4 THEN 'figure' WHEN {k} = 5 THEN 'table' WHEN {k} = 6 THEN 'equation' WHEN {k} = 7 THEN 'code' WHEN {k} = 8 THEN 'reference' WHEN {k} = 9 THEN 'unknown' ELSE 'paragraph' END"
     heads = ("'Introduction'", "'Appendix B: Results'", "'3.1 Method'", "'References'", "'2.1 X'", "concat('Topic ', doc_id, '?')", "'C Discussion'")
     head = f"CASE {h} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(heads[:-1])) + f" ELSE {heads[-1]} END"
-    body = "CASE WHEN doc_id % 9 = 0 THEN concat('User {v1} ', substr(text, 1, 300)) WHEN doc_id % 9 = 1 THEN concat('{ v 1 } and {v2}: ', substr(text, 1, 500)) ELSE substr(text, 1, 500) END"
+    body = "CASE WHEN doc_id % 9 = 0 THEN concat('User {v1} ', text) WHEN doc_id % 9 = 1 THEN concat('{ v 1 } and {v2}: ', text) ELSE text END"
     source = f"CASE WHEN {k} < 4 THEN {head} WHEN {k} = 9 THEN '*Equal contribution' ELSE {body} END"
     drafts = (
         "''",
@@ -116,9 +109,9 @@ def pair_columns(d: Dialect) -> str:
         t("§PROTECTED_0§ 與 §PROTECTED_1§ 文字"),
         t("導論：已完成的翻譯。"),
         t("以下是翻譯：這是內容，沒有結尾"),
-        f"repeat({t('這是一個完整的句子。')}, 14)",
+        f"repeat({t('這是一個完整的句子。')}, CAST(14 + {d.idiv('length(text)', '30')} AS INT))",
         f"concat(repeat({t('文字 ')}, 40), '(')",
-        f"concat({t('結果 ')}, substr(text, 1, 400))",
+        f"concat({t('結果 ')}, text)",
         f"repeat({t('重複的一行' + NL)}, 4)",
         f"repeat({t('長文。')}, 700)",
         t("Rules: 翻譯"),

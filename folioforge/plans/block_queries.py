@@ -77,10 +77,10 @@ add("e15_first_abstract", segment.Operator(lambda d: f"SELECT doc_id, min(line_n
 
 _candidates = lambda d: (
     f"candidates AS (SELECT doc_id, 'extracted' AS name, 0 AS priority, {lines.wrap(d, 'text', d.text('a.pdf'))} AS raw FROM @papers@ WHERE doc_id % 3 <> 1"
-    " UNION ALL SELECT doc_id, 'converted' AS name, 1 AS priority, CASE WHEN doc_id % 3 = 2 THEN substr(text, 1, 100) ELSE text END AS raw FROM @papers@),"
-    f" scored AS (SELECT doc_id, name, priority, raw, round({segment.score(d, 'raw')}, 6) AS score FROM candidates)"
+    " UNION ALL SELECT doc_id, 'converted' AS name, 1 AS priority, CASE WHEN doc_id % 3 = 2 THEN replace(text, 'Abstract', '(cid:1)') ELSE text END AS raw FROM @papers@),"
+    f" scored AS (SELECT doc_id, name, priority, raw, round({segment.score(d, 'raw', 'rs')}, 6) AS score FROM (SELECT *, {segment.source_rows(d, 'raw')} AS rs FROM candidates))"
 )
-add("d02_source_score", segment.Operator(lambda d: f"SELECT doc_id, round({segment.score(d, 'text')}, 6) AS score FROM @documents@"), "", documents=documents)
+add("d02_source_score", segment.Operator(lambda d: f"SELECT doc_id, round({segment.score(d, 'text', 'rs')}, 6) AS score FROM (SELECT doc_id, text, {segment.source_rows(d, 'text')} AS rs FROM @documents@)"), "", documents=documents)
 add("g01_candidate_union", segment.Operator(lambda d: f"WITH {_candidates(d)} SELECT doc_id, name, priority, md5(raw) AS raw_hash FROM candidates"), bases.PAPERS, papers=bases.papers)
 add("x01_candidates", segment.Operator(lambda d: f"WITH {_candidates(d)} SELECT doc_id, name, score, md5({lines.unwrap(d, 'raw')}) AS content_hash FROM scored"), bases.PAPERS, papers=bases.papers)
 add("d03_best_candidate", segment.Operator(lambda d: f"WITH {_candidates(d)} SELECT doc_id, name, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, priority) AS rn FROM scored) WHERE rn = 1"), bases.PAPERS, papers=bases.papers)

@@ -83,8 +83,8 @@ add(
         " after AS (SELECT paper_id, page, status FROM records WHERE made UNION ALL SELECT paper_id, page, CASE WHEN page % 5 = 0 THEN 'failed_hard_source_passthrough' ELSE 'pass' END FROM todo)"
         " SELECT w.paper_id, count(*) AS pages, count(CASE WHEN a.status = 'pass' THEN 1 END) AS passed, count(CASE WHEN a.status = 'degraded_pass' THEN 1 END) AS degraded, count(CASE WHEN a.status = 'failed_hard_source_passthrough' THEN 1 END) AS failed, count(CASE WHEN a.page IS NULL THEN 1 END) AS not_run FROM @wanted@ w LEFT JOIN after a ON a.paper_id = w.paper_id AND a.page = w.page GROUP BY w.paper_id"
     ),
-    relational_queries.ATTEMPTS,
-    attempts=relational_queries.attempts,
+    relational_queries.STOPPED,
+    attempts=relational_queries.stopped,
     wanted=relational_queries.wanted,
 )
 
@@ -94,7 +94,7 @@ def _merged(d) -> str:
     return f"WITH {runs.records(d)} SELECT w.paper_id, {order} AS pages FROM @wanted@ w LEFT JOIN records r ON r.paper_id = w.paper_id AND r.page = w.page GROUP BY w.paper_id"
 
 
-add("a16_merge_plan", Operator(_merged), relational_queries.ATTEMPTS, attempts=relational_queries.attempts, wanted=relational_queries.wanted)
+add("a16_merge_plan", Operator(_merged), relational_queries.STOPPED, attempts=relational_queries.stopped, wanted=relational_queries.wanted)
 add("a14_artifact_paths", Operator(lambda d: "SELECT DISTINCT paper_id, concat('outputs/', paper_id, '/work/blocks') AS blocks, concat('outputs/', paper_id, '/work/translated') AS translated, concat('outputs/', paper_id, '/', paper_id, '.md') AS document FROM @wanted@"), relational_queries.ATTEMPTS, wanted=relational_queries.wanted)
 add("g06_required_keys", Operator(lambda d: "SELECT kind, count(*) AS n, count(section) AS with_section, count(repaired) AS with_repaired FROM @pairs@ GROUP BY kind"), bases.PAIRS, pairs=bases.pairs)
 add("g04_words_except_allowed", Operator(lambda d: f"SELECT kind, word, count(*) AS n FROM (SELECT kind, {'explode' if d.name == 'spark' else 'unnest'}({validation.suspicious_words(d, 'source', 'translated')}) AS word FROM @pairs@) GROUP BY kind, word"), bases.PAIRS, pairs=bases.pairs)
@@ -123,7 +123,7 @@ def _guided(text: str, prompt: str) -> str:
 
 def x13_block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over all papers in two candidates with a provider by rule: count and characters of the blocks by kind, of the sources chosen, the glossary's terms by policy and both documents."""
-    papers = bases.whole_papers(spark, sf_dir)
+    papers = bases.papers(spark, sf_dir)
     wrapped = "concat('# Source Extracted Text\\n\\nSource PDF: a\\n\\n## Extracted Content\\n\\n', text)"
     broken = "CASE WHEN doc_id % 2 = 0 THEN replace(text, 'Abstract', '(cid:1)') ELSE text END"
     candidates = papers.selectExpr("doc_id", "'converted' AS name", "1 AS priority", "text AS raw").unionByName(papers.selectExpr("doc_id", "'extracted' AS name", "0 AS priority", f"{broken.replace('ELSE text', f'ELSE {wrapped}')} AS raw"))

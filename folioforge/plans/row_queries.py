@@ -20,19 +20,24 @@ _BASES = {
 }
 
 
-def _run(base, keys, columns, where, spark, sf_dir):
+def _run(base, keys, columns, where, given, spark, sf_dir):
     df = _BASES[base][0](spark, sf_dir)
     if where:
         df = df.where(where(SPARK))
+    if given:
+        df = df.selectExpr("*", *[f"{f(SPARK)} AS {name}" for name, f in given.items()])
     return df.selectExpr(*keys, *[f"{f(SPARK)} AS {name}" for name, f in columns.items()])
 
 
-def add(key: str, base: str, where=None, **columns) -> None:
-    """columns: name -> function of a dialect that gives an expression over the columns of the base."""
+def add(key: str, base: str, where=None, given=None, **columns) -> None:
+    """columns: name -> function of a dialect that gives an expression over the columns of the base and over those of given, which are made once before."""
     _, ctes, table, keys = _BASES[base]
-    QUERIES[key] = partial(_run, base, keys, columns, where)
+    QUERIES[key] = partial(_run, base, keys, columns, where, given)
     shown = ", ".join([*keys, *[f"{f(DUCK)} AS {name}" for name, f in columns.items()]])
-    ORACLES[key] = (f"WITH {ctes} " if ctes else "") + f"SELECT {shown} FROM {table}" + (f" WHERE {where(DUCK)}" if where else "")
+    rows = f"{table}" + (f" WHERE {where(DUCK)}" if where else "")
+    if given:
+        rows = f"(SELECT *, {', '.join(f'{f(DUCK)} AS {name}' for name, f in given.items())} FROM {rows})"
+    ORACLES[key] = (f"WITH {ctes} " if ctes else "") + f"SELECT {shown} FROM {rows}"
 
 
 # Sources and sinks as text
@@ -69,7 +74,7 @@ add("h25_caption_tail", "lines", tail=lambda d: repair.is_caption_tail(d, "line"
 add("h01_normalize_whitespace", "papers", text_hash=lambda d: d.md5(lines.normalize_whitespace(d, "text")))
 add("h02_normalize_text", "papers", archival=lambda d: d.md5(assembly.archival(d, "text")), study=lambda d: d.md5(assembly.study(d, "concat('[TRANSLATION_ERROR:b9] ', text)")), layout=lambda d: d.md5(assembly.one_line(d, "text")))
 add("h24_split_blocks", "papers", n_blocks=lambda d: d.size(repair.blocks(d, "text")), hash=lambda d: d.md5(d.join(repair.blocks(d, "text"), "|")))
-add("b22_duplicate_lines", "documents", n_lines=lambda d: d.size(assembly.lines_of(d, "text")), n_distinct=lambda d: d.size(d.distinct(assembly.lines_of(d, "text"))), duplicate=lambda d: assembly.has_duplicate_lines(d, "text"))
+add("b22_duplicate_lines", "documents", given={"rows": lambda d: assembly.lines_of(d, "text")}, n_lines=lambda d: d.size("rows"), n_distinct=lambda d: d.size(d.distinct("rows")), duplicate=lambda d: f"({d.size('rows')} >= 3 AND {d.size(d.distinct('rows'))} <= greatest(1, {d.idiv(d.size('rows'), '2')}))")
 add("d08_latin_density", "documents", letters=lambda d: translation.latin_letters(d, "text"), density=lambda d: f"round({translation.latin_density(d, 'text')}, 6)")
 add("d09_sentence_counts", "documents", source_stops=lambda d: d.count("text", translation.SOURCE_STOPS), target_stops=lambda d: d.count("text", translation.TARGET_STOPS))
 add("h06_protect_spans", "papers", n_protected=lambda d: d.size(translation.protected_spans(d, "text")), masked_hash=lambda d: d.md5(translation.masked(d, "text")))
@@ -80,23 +85,26 @@ add("h09_join_broken_words", "papers", joined=lambda d: d.md5(validation.joined_
 # Drafts of translations
 add("b19_suspicious_block", "pairs", suspicious=lambda d: translation.is_suspicious(d, "source", "translated", "kind"))
 add("b20_truncated_translation", "pairs", truncated=lambda d: translation.is_truncated(d, "source", "translated", "kind"))
-add("b21_suspicious_translation", "pairs", suspicious=lambda d: assembly.is_suspicious(d, assembly.archival(d, "source"), assembly.archival(d, "translated"), "kind"))
-add("b23_bad_heading", "pairs", bad=lambda d: assembly.is_bad_heading(d, assembly.study(d, "source")), where=lambda d: "kind = 'heading'")
+_ARCHIVAL = {"s": lambda d: assembly.archival(d, "source"), "t": lambda d: assembly.archival(d, "translated"), "p": lambda d: assembly.archival(d, "coalesce(repaired, translated)")}
+_given = lambda *names: {n: _ARCHIVAL[n] for n in names}
+_STUDY = {"s": lambda d: assembly.study(d, "source")}
+add("b21_suspicious_translation", "pairs", given=_given("s", "t"), suspicious=lambda d: assembly.is_suspicious(d, "s", "t", "kind"))
+add("b23_bad_heading", "pairs", given=_STUDY, bad=lambda d: assembly.is_bad_heading(d, "s"), where=lambda d: "kind = 'heading'")
 add("b24_translatable", "pairs", asks=lambda d: f"({d.in_('kind', translation.TRANSLATABLE)} AND {d.strip('translated')} = '')", kept=lambda d: d.md5(f"CASE WHEN {d.in_('kind', translation.TRANSLATABLE)} THEN translated ELSE source END"))
 add("b26_validate_translation", "pairs", reason=lambda d: validation.reason(d, "source", "translated"))
 add("b28_contains_chinese", "pairs", chinese=lambda d: assembly.has_cjk(d, "translated"))
-add("b29_study_row_dropped", "pairs", dropped=lambda d: f"({assembly.study_rendered(d, assembly.study(d, 'source'), 'kind', 'section')}) IS NULL")
+add("b29_study_row_dropped", "pairs", given=_STUDY, dropped=lambda d: f"({assembly.study_rendered(d, 's', 'kind', 'section')}) IS NULL")
 add("b31_dangling_placeholder", "pairs", dangling=lambda d: validation.has_dangling(d, "translated"))
 add("c14_foreign_words", "pairs", words=lambda d: d.join(validation.suspicious_words(d, "source", "translated"), ","))
 add("f06_first_foreign_words", "pairs", words=lambda d: d.join(d.slice(validation.suspicious_words(d, "source", "translated"), 8), ","))
-add("g05_placeholder_equality", "pairs", ordered=lambda d: f"({validation.placeholders(d, 'source')} = {validation.placeholders(d, 'translated')})", unordered=lambda d: f"({d.sort(validation.placeholders(d, 'source'))} = {d.sort(validation.placeholders(d, 'translated'))})")
+add("g05_placeholder_equality", "pairs", given={"a": lambda d: validation.placeholders(d, "source"), "b": lambda d: validation.placeholders(d, "translated")}, ordered=lambda d: "(a = b)", unordered=lambda d: f"({d.sort('a')} = {d.sort('b')})")
 add("h03_heading_levels", "pairs", archival=lambda d: assembly.level(d, "section"), study=lambda d: assembly.study_level(d, "section"))
 add("h08_strip_meta_prefix", "pairs", text_hash=lambda d: d.md5(translation.strip_meta(d, "translated")))
 add("h10_placeholders", "pairs", found=lambda d: d.join(validation.placeholders(d, "source"), ","))
 add("h14_prompt", "pairs", prompt=lambda d: d.md5(translation.prompt(d, "source", "kind", "section", "0", "doc_id % 3 + 1", translation.guidance_line(d, "'PSP'", "'preserve'", "NULL"))))
-add("h16_heading_text", "pairs", heading=lambda d: assembly.heading_text(d, assembly.archival(d, "source"), assembly.archival(d, "coalesce(repaired, translated)")), where=lambda d: "kind = 'heading'")
-add("h17_archival_choice", "pairs", text_hash=lambda d: d.md5(assembly.archival_choice(d, assembly.archival(d, "source"), assembly.archival(d, "coalesce(repaired, translated)"), "kind")))
-add("h18_study_choice", "pairs", text_hash=lambda d: d.md5(assembly.study_choice(d, assembly.study(d, "source"), assembly.preferred_study(d, "repaired", "translated"), "kind")))
-add("h19_render_block", "pairs", block=lambda d: d.md5(assembly.rendered(d, assembly.archival(d, "source"), "kind", "section")), study=lambda d: d.md5(f"coalesce({assembly.study_rendered(d, assembly.study(d, 'source'), 'kind', 'section')}, '')"))
-add("c03_heading_dictionary", "pairs", known=lambda d: assembly.known_heading(d, assembly.archival(d, "source")), where=lambda d: "kind = 'heading'")
+add("h16_heading_text", "pairs", given=_given("s", "p"), heading=lambda d: assembly.heading_text(d, "s", "p"), where=lambda d: "kind = 'heading'")
+add("h17_archival_choice", "pairs", given=_given("s", "p"), text_hash=lambda d: d.md5(assembly.archival_choice(d, "s", "p", "kind")))
+add("h18_study_choice", "pairs", given={**_STUDY, "p": lambda d: assembly.preferred_study(d, "repaired", "translated")}, text_hash=lambda d: d.md5(assembly.study_choice(d, "s", "p", "kind")))
+add("h19_render_block", "pairs", given={**_given("s"), "y": _STUDY["s"]}, block=lambda d: d.md5(assembly.rendered(d, "s", "kind", "section")), study=lambda d: d.md5(f"coalesce({assembly.study_rendered(d, 'y', 'kind', 'section')}, '')"))
+add("c03_heading_dictionary", "pairs", given=_given("s"), known=lambda d: assembly.known_heading(d, "s"), where=lambda d: "kind = 'heading'")
 add("f09_first_line", "pairs", line=lambda d: d.at(d.split("translated", chr(10)), 1))

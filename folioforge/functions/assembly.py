@@ -12,8 +12,30 @@ HAN = "[㐀-鿿]"
 SECTION_NUMBER = r"^([0-9]+(?:\.[0-9]+)*|[A-Z])\s+(.+)$"
 APPENDIX = r"^[Aa][Pp][Pp][Ee][Nn][Dd][Ii][Xx]\s+([A-Z])(?::\s*(.+))?$"
 BAD_HEADING = r"^(?:[0-9]+(?:\.[0-9]+)*\s+[A-Z]?|[0-9]+(?:\.[0-9]+)+\s+[A-Za-z0-9 .-]{0,20})$"
-#: Headings with a known translation; a user's own table may replace it.
-HEADINGS = {"Abstract": "摘要", "References": "參考文獻", "Appendix": "附錄", "Introduction": "導論", "Method": "方法", "Results": "結果", "Related Work": "相關工作", "Discussion": "討論", "Conclusion": "結論"}
+# Headings with a known translation; a caller's own table may replace them.
+HEADINGS = {
+    "Are LLMs Good Safety Agents or a Propaganda Engine?": "LLM 是優秀的安全代理，還是宣傳引擎？",
+    "Abstract": "摘要",
+    "References": "參考文獻",
+    "Appendix": "附錄",
+    "Introduction": "導論",
+    "Problem De nition": "問題定義",
+    "Problem Definition": "問題定義",
+    "Refusals": "拒答",
+    "Refusal versus Censorship": "拒答與審查",
+    "Related Work": "相關工作",
+    "Existing, Scope-Limited Data Sources": "既有且範圍受限的資料來源",
+    "Our Data Construction Method": "我們的資料建構方法",
+    "Data Statistics of PSP": "PSP 的資料統計",
+    "Data-driven approach": "資料驅動方法",
+    "Representation-level approach": "表徵層級方法",
+    "Prompt Injection Attacks": "提示注入攻擊",
+    "Experimental Setup": "實驗設定",
+    "Discussion": "討論",
+    "RQ1: Impact of de-politicization": "RQ1：去政治化的影響",
+    "RQ2: Prompt injection attacks and partial refusals": "RQ2：提示注入攻擊與部分拒答",
+    "Conclusion": "結論",
+}
 
 
 def has_cjk(d: Dialect, x: str) -> str:
@@ -55,6 +77,8 @@ def is_suspicious(d: Dialect, source: str, translated: str, kind: str) -> str:
 
 
 def known_heading(d: Dialect, x: str) -> str:
+    if d.name == "spark":
+        return f"try_element_at(map({', '.join(f'{d.text(a)}, {d.text(b)}' for a, b in HEADINGS.items())}), {x})"
     return f"CASE {x} " + " ".join(f"WHEN {d.text(a)} THEN {d.text(b)}" for a, b in HEADINGS.items()) + " END"
 
 

@@ -78,34 +78,59 @@ def repair(text: Column) -> Column:
 
 # --- front matter ---------------------------------------------------------------
 
-_AT = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
-_PLACE = re.compile(r"\b(?:University|Institute|College|School|Laborator\w+|Science Park)\b")
-
-
-def front_matter(lines: list[str]) -> dict[str, list[str]]:
-    """Authors, affiliations and addresses of the lines above an abstract, each once, in order."""
-    emails: dict[str, None] = {}
-    places: dict[str, None] = {}
-    authors: dict[str, None] = {}
-    for line in lines:
-        emails |= dict.fromkeys(_AT.findall(line))
-        rest = [p.strip() for p in re.split(r",|;|\s{2,}", _AT.sub("", line)) if p.strip()]
-        for p in rest:
-            for q in [p] if _PLACE.search(p) else re.split(r"\s+and\s+", p):
-                if _PLACE.search(q):
-                    places[q.strip()] = None
-                elif re.fullmatch(r"[A-Z][\w.'-]+(?:\s+[A-Z][\w.'-]+){1,3}", q.strip()):
-                    authors[q.strip()] = None
-    return {"authors": list(authors), "affiliations": list(places), "emails": list(emails)}
+# Addresses, words that begin an affiliation, words that separate affiliations without numbers.
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+PLACE = r"\b(?:[0-9]+\.?\s*)?(?:CMU|SMU|University|Institute|Vector|MPI|AREA|Science Park)\b"
+PLACE_SPLIT = r"\s+(?=(?:CMU|SMU|University|MPI|AREA)\b)"
+_NUMBER = re.compile(r"(?:^|(?<=\s))[0-9]+\.?\s+")
+_LABELS = {"authors": "Authors: ", "affiliations": "Affiliations:\n- ", "emails": "Emails: "}
+
+
+def _places(text: str) -> list[str]:
+    """Affiliations of a text: the numbered ones if there are any, else cut before the words that begin one."""
+    starts = [m.start() for m in _NUMBER.finditer(text)]
+    parts = [text[a:z] for a, z in zip(starts, [*starts[1:], len(text)], strict=True)] if starts else re.split(PLACE_SPLIT, text)
+    return [p.strip(" ,") for p in parts if p.strip(" ,")]
+
+
+def title_paragraph(source: str, translated: str = "") -> dict[str, list[str]]:
+    """Authors, affiliations and addresses of a paragraph of the title section.
+
+    A draft of several lines with numbered affiliations says all by its lines; else the source is cut where the first affiliation begins."""
+    emails = re.findall(EMAIL, translated or source)
+    if "\n" in translated:
+        rows = [r.strip(" ,") for r in translated.split("\n") if r.strip(" ,")]
+        plain = [r for r in rows if not re.search(EMAIL, r)]
+        first = next((i for i, r in enumerate(plain) if re.match(r"[0-9]+\.?\s+", r)), None)
+        if first is not None:
+            names = next(((i, r) for i, r in enumerate(plain) if not re.match(r"[0-9]+\.?\s+", r)), None)
+            kept = [r for i, r in enumerate(plain) if i >= first and (names is None or i != names[0])]
+            told = [e for r in rows for e in re.findall(EMAIL, r)]
+            return {"authors": [names[1] if names else translated], "affiliations": kept, "emails": told or emails}
+    rest = re.sub(EMAIL, "", source).strip()
+    m = re.search(PLACE, rest)
+    names = (rest[: m.start()] if m else rest).strip(" ,")
+    return {"authors": [names] if names else [translated] if translated else [], "affiliations": _places(rest[m.start() :].strip(" ,")) if m else [], "emails": emails}
+
+
+def front_matter(title: str | None, paragraphs: list[tuple[str, str]]) -> list[str]:
+    """The head of a study document: title, authors, affiliations and addresses, the last two each once, in order. paragraphs: (source, draft)."""
+    found: dict[str, list[str]] = {k: [] for k in _LABELS}
+    for source, draft in paragraphs:
+        for k, v in title_paragraph(source, draft).items():
+            found[k] += v
+    found |= {k: list(dict.fromkeys(found[k])) for k in ("affiliations", "emails")}
+    shown = [f"{label}{(chr(10) + '- ' if k == 'affiliations' else ' ').join(found[k])}" for k, label in _LABELS.items() if found[k]]
+    return ([f"# {title}"] if title else []) + shown
 
 
 def title_parts(text_col: str) -> Column:
-    """A struct of authors, affiliations and emails of a line, each joined by semicolons."""
+    """A struct of authors, affiliations and emails of a paragraph, each joined by semicolons."""
 
     ship(SparkSession.active())
 
     def parts(s):
-        return pd.DataFrame([{k: ";".join(v) for k, v in front_matter([t or ""]).items()} for t in s], columns=["authors", "affiliations", "emails"])
+        return pd.DataFrame([{k: ";".join(v) for k, v in title_paragraph(t or "").items()} for t in s], columns=["authors", "affiliations", "emails"])
 
     parts.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
     return F.pandas_udf(parts, "authors string, affiliations string, emails string")(text_col)

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import assembly, lines, translation
+from ..functions import assembly, lines, repair, translation
 from ..functions.dialect import SPARK as D
 from . import english_repair, glossary, planning, providers, segment
 
 
-def _table(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+def _table(df: DataFrame, path: str, again: bool = False) -> DataFrame:
+    """again: a run that starts anew writes it over."""
+    df.write.mode("overwrite" if again else "errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -38,33 +39,56 @@ def prompted(texts: DataFrame, terms: DataFrame | None, text_col: str) -> DataFr
 def translated_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider], path: str, stored: DataFrame | None = None, terms: DataFrame | None = None) -> DataFrame:
     """blocks (doc_id, block_id, kind, source, ...) -> also translated. Protected kinds keep their source. stored (doc_id, block_id, translated): drafts that are complete are kept. terms: the glossary, whose terms go with each chunk.
 
-    Spans are masked before and restored after; long texts go in chunks; the answers are a table at `path`, so nothing is asked twice."""
+    Spans are masked before and restored after; long texts go in chunks; requests and answers are tables under `path`, answers grow batch by batch and a run that starts again with the same path asks only for what is not there."""
     if stored is not None:
         blocks = blocks.join(stored.withColumnRenamed("translated", "draft"), ["doc_id", "block_id"], "left")
     else:
         blocks = blocks.withColumn("draft", F.lit(None).cast("string"))
     whole = f"draft IS NOT NULL AND {D.strip('draft')} <> '' AND NOT {translation.is_truncated(D, 'source', 'draft', 'kind')}"
-    blocks = blocks.selectExpr("*", f"CASE WHEN NOT {D.in_('kind', translation.TRANSLATABLE)} THEN source WHEN {whole} THEN draft END AS ready")
-    asked = blocks.where("ready IS NULL").selectExpr("doc_id", "block_id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", f"{translation.masked(D, 'source')} AS masked", f"{translation.protected_spans(D, 'source')} AS spans")
-    cut = asked.selectExpr("doc_id", "block_id", "kind", "section", f"{planning.packed(D, 'masked')} AS c")
+    marked = blocks.selectExpr("*", f"CASE WHEN NOT {D.in_('kind', translation.TRANSLATABLE)} THEN source WHEN {whole} THEN draft END AS ready")
+    # what is ready has no chunks; as a filter the test would be pushed below and made again for each of its uses
+    masked = marked.selectExpr("doc_id", "block_id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", "ready", f"{translation.masked(D, 'source')} AS masked")
+    cut = masked.selectExpr("doc_id", "block_id", "kind", "section", f"CASE WHEN ready IS NULL THEN {planning.packed(D, 'masked')} ELSE array() END AS c")
     chunks = cut.selectExpr("doc_id", "block_id", "kind", "section", "size(c) AS total", "posexplode(c) AS (chunk, text)").withColumn("id", F.concat_ws("__", "doc_id", "block_id", "chunk"))
-    answers = _table(providers.call(prompted(chunks, terms, "text"), provider, "id", "text", prompt_col="prompt"), path)
+    chunks = _table(prompted(chunks, terms, "text").select("id", "doc_id", "block_id", "chunk", "text", "prompt"), f"{path}/requests", again=True)
+    answers = providers.answered(chunks, provider, "id", "text", f"{path}/answers", prompt_col="prompt")
     parts = chunks.select("id", "doc_id", "block_id", "chunk").join(answers, "id")
     joined = parts.groupBy("doc_id", "block_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "answer"))).alias("p")).selectExpr("doc_id", "block_id", "transform(p, e -> e.answer) AS p")
-    done = asked.join(joined, ["doc_id", "block_id"], "left").selectExpr("doc_id", "block_id", f"{translation.restored(D, '(' + translation.response_chunk(D, 'kind', 'coalesce(p, array())') + ')', 'spans')} AS answer")
-    out = blocks.join(done, ["doc_id", "block_id"], "left").withColumn("translated", F.coalesce("ready", "answer"))
-    return out.drop("draft", "ready", "answer")
+    out = marked.join(joined, ["doc_id", "block_id"], "left").withColumn("spans", F.expr(translation.protected_spans(D, "source"))).withColumn("said", F.expr(translation.response_chunk(D, "kind", "coalesce(p, array())")))
+    return out.withColumn("translated", F.expr(f"coalesce(ready, {translation.restored(D, 'said', 'spans')})")).drop("draft", "ready", "p", "spans", "said")
 
 
 def repaired_blocks(blocks: DataFrame, provider: Callable[[], providers.Provider], path: str, terms: DataFrame | None = None) -> DataFrame:
     """Only suspicious drafts are asked for again, with the terms of the glossary; an empty or failed answer keeps the draft. `still` tells whether the result is suspicious itself."""
     marked = blocks.selectExpr("*", f"{translation.is_suspicious(D, 'source', 'translated', 'kind')} AS suspicious").withColumn("id", F.concat_ws("__", "doc_id", "block_id"))
     asked = marked.where("suspicious").selectExpr("doc_id", "id", "kind", "section" if "section" in blocks.columns else "CAST(NULL AS STRING) AS section", "0 AS chunk", "1 AS total", "source")
-    answers = _table(providers.call(prompted(asked, terms, "source"), provider, "id", "source", prompt_col="prompt"), path).where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
+    asked = _table(prompted(asked, terms, "source").select("id", "source", "prompt"), f"{path}/requests", again=True)
+    answers = providers.answered(asked, provider, "id", "source", f"{path}/answers", prompt_col="prompt").where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
     out = marked.join(answers.withColumnRenamed("answer", "repaired"), "id", "left").withColumn("translated", F.coalesce("repaired", "translated"))
     return out.selectExpr("*", f"{translation.is_suspicious(D, 'source', 'translated', 'kind')} AS still").drop("id")
 
 
+def repaired_english(texts: DataFrame, provider: Callable[[], providers.Provider], path: str, mode: str = "hybrid") -> DataFrame:
+    """texts (doc_id, text) -> (doc_id, place, block, asked): English blocks in order.
+
+    hybrid: interrupted prose is put together by rule, then blocks that look broken go to the provider; full: all blocks
+    but headings go, without the rule; heuristic: the rule alone. An empty or failed answer keeps the block. Answers are
+    stored under `path` by content and mode, so a run that starts again asks only for what is not there."""
+    if mode not in ("heuristic", "hybrid", "full"):
+        raise ValueError(mode)
+    rows = texts if mode == "full" else texts.select("doc_id", english_repair.repair(F.col("text")).alias("text"))
+    rows = rows.selectExpr("doc_id", f"posexplode({repair.blocks(D, 'text')}) AS (place, block)")
+    test = {"heuristic": "false", "hybrid": repair.is_suspicious(D, "block"), "full": f"NOT {repair.is_heading(D, 'block')}"}[mode]
+    rows = rows.selectExpr("doc_id", "place", "block", f"{test} AS asked")
+    if mode == "heuristic":
+        return rows
+    rows = _table(rows.withColumn("id", F.concat_ws("__", "doc_id", "place")), f"{path}/{mode}-blocks", again=True)
+    prompt = f"concat_ws({D.text(chr(10))}, 'Mend what extraction broke, change nothing else.', concat('Kind: ', {repair.kind(D, 'block')}), concat('Passage: ', block))"
+    answers = providers.answered(rows.where("asked").selectExpr("id", "block", f"{prompt} AS prompt"), provider, "id", "block", f"{path}/{mode}-answers", prompt_col="prompt")
+    answers = answers.where("answer <> '' AND NOT startswith(answer, '[TRANSLATION_ERROR:')")
+    return rows.join(answers, "id", "left").select("doc_id", "place", F.coalesce("answer", "block").alias("block"), "asked")
+
+
 def documents(blocks: DataFrame, study: bool = False) -> DataFrame:
     """blocks with translated and repaired -> (doc_id, document) in Markdown."""
     if study:

@@ -21,12 +21,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The line below the title, in parts: authors, affiliations, addresses.
+AUTHORS = (
+    "'Ann Author'",
+    "CASE WHEN doc_id % 3 = 0 THEN ', Cy Third' ELSE '' END",
+    "' and Bo Writer'",
+    "CASE doc_id % 4 WHEN 0 THEN ' 1 CMU, Some City 2 Other Lab ' WHEN 1 THEN ' University of Tests ' WHEN 2 THEN ' SMU MPI ' ELSE ', ' END",
+    "concat('ann', doc_id, '@example.org')",
+    "CASE WHEN doc_id % 5 = 0 THEN ' bo@example.org' ELSE '' END",
+)
+
+
 def paper_text(d: Dialect) -> str:
     """The whole text, with its own lines, is the body of the paper."""
     t = d.text
     parts = [
         "concat('What is topic ', doc_id, '?')",
-        "concat('Ann Author and Bo Writer, Some University, ann', doc_id, '@example.org')",
+        f"concat({', '.join(AUTHORS)})",
         "CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE '[.]' END",
         "'v'",
         "CASE WHEN doc_id % 10 = 9 THEN 'Summary' ELSE 'Abstract' END",
@@ -55,7 +66,7 @@ def paper_text(d: Dialect) -> str:
         "'```'",
         "concat('12 34 56.5 ', doc_id % 100, '%')",
         "'## 2.1 Method'",
-        "'A University of the North (UN) and Large Language Models (LLMS) are used.'",
+        "'A University of the North (UN) and Prompt Injection Attacks (PIAS) are used.'",
         "concat('See https://example.org/p/', doc_id, ' and `code span` or $a+b$ for more: 2019')",
         "'B Appendix Details'",
         "CASE WHEN doc_id % 6 = 0 THEN 'Notes' ELSE 'References' END",
@@ -81,10 +92,12 @@ def paper_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.lines_of(papers(spark, sf_dir))
 
 
-LINES = (
-    f"{PAPERS}, clean AS (SELECT doc_id, {lines.clean_text(DUCK)} AS text FROM papers), "
+#: Lines of papers (doc_id, text).
+LINES_OF = (
+    f"clean AS (SELECT doc_id, {lines.clean_text(DUCK)} AS text FROM papers), "
     f"lines AS (SELECT doc_id, line_no, {DUCK.rstrip('line')} AS line FROM (SELECT doc_id, CAST(unnest(range(1, len(a) + 1)) AS BIGINT) AS line_no, unnest(a) AS line FROM (SELECT doc_id, string_split(text, {DUCK.text(NL)}) AS a FROM clean)))"
 )
+LINES = f"{PAPERS}, {LINES_OF}"
 
 
 def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +112,7 @@ def pair_columns(d: Dialect) -> str:
     t = d.text
     k, h, v = "doc_id % 16", f"{d.idiv('doc_id', '16')} % 7", f"{d.idiv('doc_id', '2')} % 14"
     kind = f"CASE WHEN {k} < 4 THEN 'heading' WHEN {k} = 4 THEN 'figure' WHEN {k} = 5 THEN 'table' WHEN {k} = 6 THEN 'equation' WHEN {k} = 7 THEN 'code' WHEN {k} = 8 THEN 'reference' WHEN {k} = 9 THEN 'unknown' ELSE 'paragraph' END"
-    heads = ("'Introduction'", "'Appendix B: Results'", "'3.1 Method'", "'References'", "'2.1 X'", "concat('Topic ', doc_id, '?')", "'C Discussion'")
+    heads = ("'Introduction'", "'Appendix B: Discussion'", "'3.1 Conclusion'", "'References'", "'2.1 X'", "concat('Topic ', doc_id, '?')", "'C Discussion'")
     head = f"CASE {h} " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(heads[:-1])) + f" ELSE {heads[-1]} END"
     body = "CASE WHEN doc_id % 9 = 0 THEN concat('User {v1} ', text) WHEN doc_id % 9 = 1 THEN concat('{ v 1 } and {v2}: ', text) ELSE text END"
     source = f"CASE WHEN {k} < 4 THEN {head} WHEN {k} = 9 THEN '*Equal contribution' ELSE {body} END"

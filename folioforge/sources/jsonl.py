@@ -10,9 +10,9 @@ ENTRY = "term STRING, policy STRING, source STRING, translation_zh_tw STRING"
 REQUIRED = ("block_id", "type", "source")
 
 
-def write_blocks(df: DataFrame, path: str) -> str:
-    """One JSON object a line, in a folder for each partition of the writer."""
-    df.write.json(path)
+def write_blocks(df: DataFrame, path: str, by: str | None = None) -> str:
+    """One JSON object a line; by: a column whose values become folders, such as the paper."""
+    (df.write.partitionBy(by) if by else df.write).json(path)
     return path
 
 

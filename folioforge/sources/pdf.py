@@ -125,6 +125,29 @@ def text_of(data: bytes | None) -> str:
     return "\n\n".join(t for t in map(stream_text, content_streams(data or b"")) if t)
 
 
+def token_counts(data: bytes | None) -> dict[str, int]:
+    """Tokens of a file's content streams by kind."""
+    out = {"string": 0, "number": 0, "operator": 0}
+    for body in content_streams(data or b""):
+        for kind, _ in tokens(body):
+            if kind in out:
+                out[kind] += 1
+    return out
+
+
+def count_tokens(df: DataFrame, id_col: str = "path", content_col: str = "content") -> DataFrame:
+    """(id, n_strings, n_numbers, n_operators) of rows with PDF bytes."""
+    ship(df.sparkSession)
+    src = df.select(df[id_col].alias("id"), df[content_col].cast("binary").alias("content"))
+
+    def run(batches):
+        for b in batches:
+            got = [token_counts(x) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([g[k] for g in got], pa.int64()) for k in ("string", "number", "operator")]], ["id", "n_strings", "n_numbers", "n_operators"])
+
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n_strings long, n_numbers long, n_operators long")
+
+
 def extract(df: DataFrame, id_col: str = "path", content_col: str = "content") -> DataFrame:
     """(id, text) of rows with PDF bytes, such as spark.read.format("binaryFile") gives."""
     ship(df.sparkSession)

@@ -1,6 +1,6 @@
 from folioforge.operators import pipeline, providers
 
-PAPER = "What is a topic?\n\nAnn Author\nx\nAbstract\nA para-\ngraph of the abstract with `code` in it.\n1 Introduction\nWe study large language models.\n\nE = m * c^2\n\nFigure 1: An overview.\nReferences\nA. Smith. On things, 2019."
+PAPER = "What is a topic?\n\nAnn Author\nx\nAbstract\nA para-\ngraph of the abstract with `code` in it.\n1 Introduction\nWe study prompt injection attacks.\n\nE = m * c^2\n\nFigure 1: An overview.\nReferences\nA. Smith. On things, 2019."
 
 
 def test_run_papers(spark, tmp_path):
@@ -14,7 +14,7 @@ def test_run_papers(spark, tmp_path):
     assert "`code`" in next(r.translated for s, r in final.items() if "code" in s)
     text = out["archival"].where("doc_id = 1").first().document
     assert "## 摘要" in text and "$$\nE = m * c^2\n$$" in text and "> [Figure] Figure 1: An overview." in text and text.index("摘要") < text.index("1 導論")
-    assert {r.term for r in out["glossary"].where("doc_id = 1").collect()} >= {"large language models"}
+    assert {r.term for r in out["glossary"].where("doc_id = 1").collect()} >= {"prompt injection attacks"}
 
 
 def test_stored_drafts_are_kept_and_failures_marked(spark, tmp_path):

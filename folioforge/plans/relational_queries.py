@@ -115,19 +115,3 @@ add(
     papers=bases.papers,
 )
 add("g03_allowed_words", Operator(lambda d: f"SELECT doc_id, {d.join(d.sort(d.distinct(('array_union' if d.name == 'spark' else 'list_concat') + '(' + d.split('lower(source)', ' ') + ', ' + d.array(d.text('model'), d.text('token')) + ')')), ' ')} AS allowed FROM @pairs@ WHERE kind = 'heading'"), bases.PAIRS, pairs=bases.pairs)
-
-# Translation and repair over whole tables with a provider that answers by rule.
-from ..functions import translation as _t  # noqa: E402
-
-add(
-    "x03_translate_blocks",
-    Operator(lambda d: f"SELECT doc_id, kind, md5(CASE WHEN {d.in_('kind', _t.TRANSLATABLE)} THEN CASE WHEN {d.strip('translated')} <> '' THEN translated ELSE {_t.restored(d, 'concat(' + d.text('譯：') + ', ' + _t.masked(d, 'source') + ')', _t.protected_spans(d, 'source'))} END ELSE source END) AS text_hash FROM @pairs@"),
-    bases.PAIRS,
-    pairs=bases.pairs,
-)
-add(
-    "x05_repair_blocks",
-    Operator(lambda d: f"SELECT doc_id, suspicious, md5(CASE WHEN suspicious THEN concat('修：', source) ELSE translated END) AS text_hash FROM (SELECT *, {_t.is_suspicious(d, 'source', 'translated', 'kind')} AS suspicious FROM @pairs@)"),
-    bases.PAIRS,
-    pairs=bases.pairs,
-)

@@ -79,6 +79,8 @@ add("d08_latin_density", "documents", letters=lambda d: translation.latin_letter
 add("d09_sentence_counts", "documents", source_stops=lambda d: d.count("text", translation.SOURCE_STOPS), target_stops=lambda d: d.count("text", translation.TARGET_STOPS))
 add("h06_protect_spans", "papers", n_protected=lambda d: d.size(translation.protected_spans(d, "text")), masked_hash=lambda d: d.md5(translation.masked(d, "text")))
 add("c12_restore_spans", "papers", same=lambda d: f"{translation.restored(d, translation.masked(d, 'text'), translation.protected_spans(d, 'text'))} = text")
+_marks = lambda d: d.text("§PROTECTED_1§ §PROTECTED_0§ §PROTECTED_0§ §PROTECTED_11§")
+add("h07_restore_text", "papers", given={"spans": lambda d: translation.protected_spans(d, "text")}, restored=lambda d: translation.restored(d, _marks(d), "spans"))
 add("f07_snippets", "documents", error=lambda d: "substr(text, 1, 400)", fallback=lambda d: d.md5("substr(text, 1, 500)"))
 add("h09_join_broken_words", "papers", joined=lambda d: d.md5(validation.joined_words(d, "text")))
 

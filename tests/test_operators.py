@@ -117,7 +117,7 @@ def test_render(spark):
     got = [r.v for r in df.selectExpr(f"{assembly.rendered(D, 't', 'k', 's')} AS v").collect()]
     assert got == ["## Introduction", "$$\nE = 1\n$$", "> [Figure] Figure 1: x", "- A. B.", "```\nx\n```"]
     assert value(spark, assembly.heading_text(D, "s", "t"), s="1 Introduction", t="") == "1 導論"
-    assert value(spark, assembly.heading_text(D, "s", "t"), s="Appendix B: Results", t="") == "附錄 B：結果"
+    assert value(spark, assembly.heading_text(D, "s", "t"), s="Appendix B: Discussion", t="") == "附錄 B：討論"
 
 
 def test_packing_and_batches(spark):

@@ -28,6 +28,30 @@ def forget(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, how: str = "inner", parts: int = 64) -> DataFrame:
+    """left joined with right, which holds one row for each value of `on`, where a value may stand in very many rows of left.
+
+    Rows of left are dealt to `parts` parts of each value by a hash of the column `by`, and the row of right is given to the
+    parts that occur; so no task holds all rows of a value. left is computed twice: give it as a table."""
+    (salt,) = free_names([*left.columns, *right.columns], "part")
+    left = left.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(parts)))
+    given = left.select(*on, salt).distinct().join(right, on)
+    return left.join(given, [*on, salt], how).drop(salt)
+
+
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """Names for columns of our own that none of the columns of a caller's table has, in any case."""
+    held = {c.lower() for c in taken}
+    out = []
+    for n in names:
+        k = f"__{n}"
+        while k in held:
+            k += "_"
+        held.add(k)
+        out.append(k)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table; with columns only these, dealt out evenly if its files split into fewer parts than there are cores (one file of one row group, say)."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,4 +66,4 @@ def unsigned_hex(col):
     return F.lpad(F.lower(F.hex(col)), 16, "0")
 
 
-__all__ = ["forget", "fresh_path", "saved", "ship", "table", "unsigned_hex"]
+__all__ = ["forget", "free_names", "fresh_path", "saved", "ship", "spread_join", "table", "unsigned_hex"]

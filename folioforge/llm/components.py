@@ -3,7 +3,9 @@
 Links are pairs of longs. Each round keeps only links to smaller values, every
 table of a round lies in the shared folder, and two numbers (count and hash
 sum of the links) are all that reaches the driver. Minima are taken by
-partial aggregation, so a node with very many links costs no single task.
+partial aggregation and links meet the minimum of their node in joins that deal
+the links of a node to many parts, so a node with very many links costs no
+single task.
 """
 
 from __future__ import annotations
@@ -11,19 +13,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, saved
+from .common import forget, saved, spread_join
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return spread_join(both.where("b > a"), low, ["a"], "b").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """links: b < a."""
     low = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = links.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = spread_join(links, low, ["a"], "b").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
@@ -36,6 +38,8 @@ def components(links: DataFrame) -> DataFrame:
         if mark == seen or mark[0] == 0:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         seen = mark
-        after = saved(_small_star(_large_star(now)), "links")
+        grown = saved(_large_star(now), "links")
+        after = saved(_small_star(grown), "links")
         forget(now)
+        forget(grown)
         now = after

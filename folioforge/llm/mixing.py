@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import saved
+from .common import free_names, saved
 
 WEIGHTS = (5, 2, 1)
 #: Words between white space U+0020, U+0009 to U+000D.
@@ -89,14 +89,15 @@ def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int,
 
     Rows stay whole: the one on the edge of a budget is in if at least half of it is. The texts do not move:
     a source needs only its epochs and the key up to which it is taken once more, a small table."""
+    own, epochs_, edge_, times_, copy_ = free_names(df.columns, "source", "epochs", "edge", "times", "copy")
     rows = _ordered(df, share, most, weights, ranges, id_col, text_col, source_col)
     epochs, rest = _budget()
     edge = F.max(F.when((F.col("size") > 0) & (2 * (rest - F.col("prior")) >= F.col("size")), F.struct("key", "tie")))
-    cuts = rows.withColumn("epochs", epochs).groupBy("source").agg(F.max("epochs").cast("int").alias("__epochs"), edge.alias("__edge")).withColumnRenamed("source", "__source")
+    cuts = rows.withColumn("whole", epochs).groupBy("source").agg(F.max("whole").cast("int").alias(epochs_), edge.alias(edge_)).withColumnRenamed("source", own)
     cuts = saved(cuts, "cuts")  # a row for each source; as a table its size is known, so the planner broadcasts it where it is small
     here = F.struct(key(df[id_col]).alias("key"), F.xxhash64(df[text_col]).alias("tie"))
-    out = df.join(cuts, df[source_col].eqNullSafe(F.col("__source")))
-    times = F.col("__epochs") + F.coalesce(here <= F.col("__edge"), F.lit(False)).cast("int")
+    out = df.join(cuts, df[source_col].eqNullSafe(F.col(own)))
+    times = F.col(epochs_) + F.coalesce(here <= F.col(edge_), F.lit(False)).cast("int")
     times = F.when(df[text_col].rlike(WORD.rstrip("+")), times).otherwise(0)  # texts without a word take nothing
-    out = out.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    out = out.withColumn(times_, times).where(F.col(times_) > 0).withColumn(copy_, F.explode(F.sequence(F.lit(1), F.col(times_))))
     return out.select(*[out[c] for c in df.columns])

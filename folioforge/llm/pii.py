@@ -25,6 +25,7 @@ from __future__ import annotations
 import bisect
 import functools
 import ipaddress
+import itertools
 import random
 import re
 from bisect import bisect_left
@@ -104,7 +105,7 @@ def _order(s: Span):
 
 # --- further candidates -------------------------------------------------------------
 
-_LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?:\(?0?[0-9]{2,4}\)?[\x20./-]{1,2}){1,3}[0-9]{3,4}(?:[\x20.-][0-9]{2,4}){0,2}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.])(?:00|0)[0-9]{8,13}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.])[0-9]{10}(?![0-9A-Za-z])")
+_LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?:\(?0?[0-9]{2,4}\)?[\x20./-]{1,2}){1,3}[0-9]{3,4}(?:[\x20.-][0-9]{2,4}){0,2}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.])(?:00|0)[0-9]{8,13}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.])[0-9]{10}(?![0-9A-Za-z])|(?<![0-9A-Za-z+.])0[0-9](?:[\x20.-][0-9]{2}){4}(?![0-9A-Za-z])")
 _LOOSE_CARD = re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/\x20-]{1,3}[0-9]{4}){3}(?:[._/\x20-]{1,3}[0-9]{1,3})?(?![0-9A-Za-z])")
 _IPV6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){1,7}(?::[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{1,4}){0,6}|[0-9A-Fa-f]{1,4})(?![0-9A-Za-z:])")
 _SPELLED = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[a-z0-9_%+-]{1,40}(?:\.[a-z0-9_%+-]{1,40}){0,3}\x20?(?:[\[({<]\x20?at\x20?[\])}>]|\x20at\x20)\x20?[a-z0-9-]{1,40}(?:\x20?(?:[\[({<]\x20?dot\x20?[\])}>]|\x20dot\x20|\.)\x20?[a-z0-9-]{1,20}){1,4}(?![A-Za-z0-9-])")
@@ -216,7 +217,7 @@ def _sample(rng: random.Random) -> tuple[str, list[Span], bool]:
     else:
         if good:
             at, dot = rng.choice(((" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", "."), ("[at]", "."), (" at ", " dot ")))
-            body = f"{word()}{rng.choice(('', '.' + word(), n(2)))}{at}{word()}{dot}{rng.choice(('com', 'org', 'net', 'edu', 'de', 'fr', 'es'))}"
+            body = f"{word()}{rng.choice(('', '.' + word(), n(2)))}{at}{word()}{rng.choice(('', '', dot + word()))}{dot}{rng.choice(('com', 'org', 'net', 'edu', 'de', 'fr', 'es'))}"
         else:
             body = rng.choice((f"{word()} at {word()}.{word().capitalize()}", f"{word()} at {word()} dot {word()}", f"looked at {word()}.{word()} {word()}", f"{word()} at the dot {word()}"))
     lead = " ".join(word() for _ in range(rng.randint(0, 6)))
@@ -227,14 +228,14 @@ def _sample(rng: random.Random) -> tuple[str, list[Span], bool]:
 
 @functools.lru_cache(maxsize=1)
 def model(rows: int = 6000, seed: int = 11, precision: float = 0.99) -> tuple[Calibrated, dict[str, float]]:
-    """(calibrated trees, threshold of each kind). Fitted once a process, in about two seconds."""
+    """(calibrated trees, threshold of each kind). Fitted once, on the driver, in about two seconds."""
     rng = random.Random(seed)
     x, y, kind = [], [], []
     while len(x) < rows:
         text, spans, good = _sample(rng)
-        base = base_spans(text)
+        base = _Taken(base_spans(text))
         for c in candidates(text):
-            if _hits(base, c):
+            if base.hits(c):
                 continue
             same = any(c[2] == k and c[0] <= a + 1 and c[1] >= b - 1 and c[1] - c[0] <= b - a + 2 for a, b, k in spans)
             x.append(features(text, c))
@@ -242,38 +243,49 @@ def model(rows: int = 6000, seed: int = 11, precision: float = 0.99) -> tuple[Ca
             kind.append(c[2])
     x, y, kind = np.array(x), np.array(y), np.array(kind)
     part = np.arange(len(x)) % 5
-    fitted = Calibrated(Boosted(trees=50, depth=4).fit(x[part < 3], y[part < 3])).calibrate(x[part == 3], y[part == 3])
+    fitted = Calibrated(Boosted(trees=90, depth=4).fit(x[part < 3], y[part < 3])).calibrate(x[part == 3], y[part == 3])
     held = part == 4
     prob = fitted.prob(x[held])
     return fitted, {k: max(0.5, threshold(prob[kind[held] == k], y[held][kind[held] == k], precision)) for k in KINDS}
 
 
-def _hits(spans: list[Span], c: Span) -> bool:
-    """Whether c overlaps one of the spans (sorted by start, few overlaps)."""
-    at = bisect_left(spans, (c[1],))
-    return any(s[1] > c[0] for s in spans[max(0, at - 8) : at])
+class _Taken:
+    """Spans sorted by start, with the furthest end up to each: whether another overlaps one of them is one look-up, however many they are."""
 
+    def __init__(self, spans: list[Span]):
+        self.starts = [s[0] for s in spans]
+        self.reach = list(itertools.accumulate((s[1] for s in spans), max))
 
-def find(texts: list[str | None]) -> tuple[list[list[Span]], list[list[Span]]]:
-    """(base spans, all spans) of each text."""
+    def hits(self, c: Span) -> bool:
+        at = bisect_left(self.starts, c[1])
+        return at > 0 and self.reach[at - 1] > c[0]
+
+
+Model = tuple[Calibrated, dict[str, float]]
+
+
+def find(texts: list[str | None], fitted: Model | None = None) -> tuple[list[list[Span]], list[list[Span]]]:
+    """(base spans, all spans) of each text. fitted: model(), which is made here if it is not given."""
     base = [base_spans(t) for t in texts]
     open_: list[tuple[int, Span]] = []
     rows: list[list[float]] = []
     for i, t in enumerate(texts):
-        for c in candidates(t):
-            if not _hits(base[i], c):
+        more = candidates(t)
+        taken = _Taken(base[i]) if more else None
+        for c in more:
+            if not taken.hits(c):
                 open_.append((i, c))
                 rows.append(features(t, c))
     every = [list(b) for b in base]
     if rows:
-        fitted, least = model()
-        prob = fitted.prob(np.array(rows))
-        taken: dict[tuple[int, str], list[tuple[int, int]]] = {}
+        trees, least = fitted or model()
+        prob = trees.prob(np.array(rows))
+        kept: dict[tuple[int, str], list[tuple[int, int]]] = {}
         for k in np.argsort(-prob, kind="stable").tolist():
             i, c = open_[k]
             if prob[k] < least[c[2]]:
                 continue
-            own = taken.setdefault((i, c[2]), [])
+            own = kept.setdefault((i, c[2]), [])
             at = bisect.bisect_left(own, (c[0], c[1]))  # kept disjoint, so neighbours suffice
             if (at and own[at - 1][1] > c[0]) or (at < len(own) and own[at][0] < c[1]):
                 continue
@@ -286,16 +298,22 @@ def shown(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{z}" for a, z, k in spans)
 
 
+def _shared(df: DataFrame):
+    """The model, fitted once on the driver and broadcast: a few thousand numbers."""
+    ship(df.sparkSession)
+    return df.sparkSession.sparkContext.broadcast(model())
+
+
 def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_email, n_ip, n_card, n_phone, base, spans): counts and text form of base spans, and all spans."""
-    ship(df.sparkSession)
+    held = _shared(df)
     src = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
 
     def run(batches):
         for b in batches:
             for at in range(0, len(b), 512):
                 part = b.iloc[at : at + 512]
-                base, every = find([t if isinstance(t, str) else None for t in part["text"]])
+                base, every = find([t if isinstance(t, str) else None for t in part["text"]], held.value)
                 counts = {f"n_{k}": [sum(s[2] == k for s in x) for x in base] for k in KINDS}
                 yield pd.DataFrame({"id": part["id"].to_numpy(), **counts, "base": [shown(x) for x in base], "spans": [shown(x) for x in every]})
 
@@ -304,7 +322,7 @@ def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redact(df: DataFrame, text_col: str = "text", marks: dict[str, str] | None = None) -> DataFrame:
     """df with the spans of text_col replaced by a mark of their kind; overlapping spans become one mark, that of the first."""
-    ship(df.sparkSession)
+    held = _shared(df)
     marks = marks or {k: f"<{k.upper()}>" for k in KINDS}
 
     def one(text: str, spans: list[Span]) -> str:
@@ -317,7 +335,7 @@ def redact(df: DataFrame, text_col: str = "text", marks: dict[str, str] | None =
 
     def run(texts: pd.Series) -> pd.Series:
         rows = [t if isinstance(t, str) else None for t in texts]
-        return pd.Series([t if not s else one(t, s) for t, s in zip(rows, find(rows)[1], strict=True)], dtype=object)
+        return pd.Series([t if not s else one(t, s) for t, s in zip(rows, find(rows, held.value)[1], strict=True)], dtype=object)
 
     from pyspark.sql import functions as F
 

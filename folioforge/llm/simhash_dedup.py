@@ -1,18 +1,32 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints: 64 bits over word shingles, see fingerprint().  Distinct ones are
-dealt into blocks and compared within a block tile by tile: numpy exclusive-or
-and bit counts over 1,024 x 1,024 fingerprints, where a tile pair is skipped if
-the population counts of its sides differ beyond the radius (rows of a block
-are sorted by population count) or if all its rows already are in one class.
+Fingerprints: majorities of the bits of word shingles' hashes, see
+fingerprint(); one word of 64 bits, or several. Distinct ones are dealt into
+blocks and compared within a block tile by tile: numpy exclusive-or and bit
+counts over 1,024 x 1,024 fingerprints, where a tile pair is skipped if the
+population counts of its sides differ beyond the radius (rows of a block are
+sorted by population count) or if all its rows already are in one class.
 
-Blocks: radius + 1 bit ranges; fingerprints that differ in at most `radius`
-bits agree in one range at least, so no link is lost and the number of tile
-pairs does not grow with the square of the corpus. A block over `most` rows is
-cut into chunks and every pair of chunks becomes a task of its own.
+near_duplicates(): fingerprints of 64 bits link within `radius` bits. Blocks are
+choices of bit ranges: of m ranges a link leaves m - radius unchanged at least, so
+each choice of m - radius ranges is a key, and a link shares one key at least. m
+is taken from the number of fingerprints (see ranges()): with more ranges the
+keys are longer and a block stays small, but there are more of them. Pairs met
+by a row grow with the corpus between two such steps and fall at each, instead of
+growing in proportion to it.
 
-A task returns a spanning forest of its links (fewer rows than it read), never
-all pairs. Classes come from components().
+drop_near_duplicates(): texts whose sets of five-word shingles have a Jaccard
+similarity of 0.8 or more, told by fingerprints of 512 bits whose radius stands
+for that similarity. Blocks are the least hashes of a text's shingles under eight
+hash functions: two texts agree in one of them with the probability of their
+similarity, so one link in 400,000 at 0.8 shares no block, and texts that share
+no shingle never meet. A block over `most` rows is split by the seven others first.
+
+In both, a block still over `most` rows is cut into chunks and every pair of
+chunks becomes a task of its own. A task returns a spanning forest of its links
+(fewer rows than it read), never all pairs. Classes come from components(). What
+is joined by a fingerprint or a class is dealt to many parts of it, so a third of
+all rows may share one.
 
 Null text counts as empty, and all texts without a word share fingerprint 0,
 which links like any other. Rows with a null id get the class of their
@@ -22,7 +36,9 @@ come back as often as they came. Further columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,30 +48,65 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import _slices
-from .common import saved, ship
+from .common import free_names, saved, ship, spread_join
 from .components import components
 
 TILE = 1024
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
-    """A-Z lower-cased, words between white space (U+0020, U+0009 to U+000D), shingles of `width` words; bit set if set in over half of the hashes."""
+def shingle_hashes(text: str | None, width: int, seed: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included: A-Z lower-cased, words between white space (U+0020, U+0009 to U+000D), `width` words joined by a space, or all of them if there are fewer."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     if len(words) <= width:
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)], np.uint64)
-    else:
-        line = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        digest = xxhash.xxh64_intdigest
-        pairs = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
-        hashes = np.fromiter((digest(line[a:z], seed) for a, z in pairs), np.uint64, len(words) - width + 1)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)], np.uint64)
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    digest = xxhash.xxh64_intdigest
+    pairs = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
+    return np.fromiter((digest(line[a:z], seed) for a, z in pairs), np.uint64, len(words) - width + 1)
+
+
+def majority(hashes: np.ndarray) -> np.uint64:
+    """64 bits, each set if it is set in over half of the hashes."""
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         votes += np.unpackbits(hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0]
+
+
+def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
+    hashes = shingle_hashes(text, width, seed)
+    return int(majority(hashes)) if len(hashes) else 0
+
+
+def mixed_bits(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash function k of the hashes (the finisher of splitmix64 over a step of its own)."""
+    with np.errstate(over="ignore"):
+        z = hashes + np.uint64((k * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+WORDS, TABLES = 8, 8
+
+
+def wide_fingerprint(text: str | None, width: int = 5, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(512 bits as words, least hashes): over the set of shingles, so repeats inside a text do not count."""
+    hashes = np.unique(shingle_hashes(text, width, seed))
+    if not len(hashes):
+        return np.zeros(WORDS, np.uint64), np.zeros(TABLES, np.uint64)
+    bits = np.array([majority(mixed_bits(hashes, k)) for k in range(1, WORDS + 1)], np.uint64)
+    return bits, np.array([mixed_bits(hashes, 1000 + k).min() for k in range(TABLES)], np.uint64)
+
+
+def radius_for(similarity: float, bits: int = 64 * WORDS, spare: float = 1.6) -> int:
+    """Differing bits up to which fingerprints stand for a Jaccard similarity: the mean for sets of equal size (bits differ with the angle between them) and `spare` standard deviations more."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * p + spare * math.sqrt(bits * p * (1 - p)))
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
@@ -80,14 +131,15 @@ def _roots(parent: np.ndarray) -> np.ndarray:
 
 
 def classes_of(bits: np.ndarray, radius: int, chunk: np.ndarray | None = None, stats: dict | None = None) -> np.ndarray:
-    """For each of the fingerprints (sorted by population count) the index of the first one of its class.
+    """For each of the fingerprints (rows of one or more words, sorted by population count) the index of the first one of its class.
 
     With chunk, only rows of different chunks are compared."""
+    bits = bits.reshape(len(bits), -1)
     n = len(bits)
     parent = np.arange(n)
     if n < 2:
         return parent
-    count = np.bitwise_count(bits).astype(np.int16)
+    count = np.bitwise_count(bits).sum(1, dtype=np.int16)
     for a in range(0, n, TILE):
         za = min(a + TILE, n)
         for b in range(a, n, TILE):
@@ -99,7 +151,10 @@ def classes_of(bits: np.ndarray, radius: int, chunk: np.ndarray | None = None, s
                 continue
             if stats is not None:
                 stats["tiles"] = stats.get("tiles", 0) + 1
-            near = np.bitwise_count(bits[a:za, None] ^ bits[None, b:zb]) <= radius
+            apart = np.zeros((za - a, zb - b), np.uint16)
+            for w in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[a:za, None, w] ^ bits[None, b:zb, w])
+            near = apart <= radius
             if chunk is not None:
                 near &= chunk[a:za, None] != chunk[None, b:zb]
             if a == b:
@@ -137,66 +192,114 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def links(distinct: DataFrame, radius: int = 4, most: int = 50_000) -> DataFrame:
-    """(a, b): a spanning forest, block by block, of the links between distinct fingerprints `fp`."""
-    ranges = radius + 1
-    width, wide = 64 // ranges, 64 % ranges
-    starts, at = [], 0
-    for k in range(ranges):
-        w = width + (k < wide)
-        starts.append((at, w))
-        at += w
-    shift = max(w for _, w in starts)
-    key = [F.lit(k << shift).cast("long") + F.shiftrightunsigned(F.shiftleft("fp", 64 - a - w), 64 - w) for k, (a, w) in enumerate(starts)]
-    dealt = distinct.select("fp", F.explode(F.array(*key)).alias("block"))
-    # at most (radius + 1) * 2^shift rows whatever the corpus holds
-    large = dealt.groupBy("block").count().where(F.col("count") > most).select("block", F.ceil(F.col("count") / most).cast("int").alias("chunks"))
-    dealt = dealt.join(F.broadcast(large), "block", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    dealt = dealt.select("fp", "block", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+def _forest(dealt: DataFrame, radius: int, most: int) -> DataFrame:
+    """dealt (block, node long, bits binary) -> (a, b): of each block a spanning forest of its links. Blocks over `most` rows are cut into chunks, each pair of which is a task."""
+    size = dealt.groupBy("block").agg(F.ceil(F.count("*") / most).cast("int").alias("chunks"), F.count("*").alias("n")).where("n > 1").select("block", "chunks")
+    dealt = spread_join(dealt, size, ["block"], "node")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    dealt = dealt.select("node", "bits", "block", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     dealt = dealt.select(
-        F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
-        "fp",
+        F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"), F.col("own") == F.col("other")).alias("task"),
+        "node",
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("chunk"),
-        F.expr("own = other").alias("alone"),
-        "block",
+        "bits",
+        _population("bits").alias("count"),
     )
-    dealt = dealt.repartition("task").sortWithinPartitions("task", "block", "alone", F.bit_count("fp"), "fp").select("task", "fp", "chunk")
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "count", "node").select("task", "node", "chunk", "bits")
 
     def run(batches):
-        for _, fp, chunk in _by_key(batches):
-            if len(fp) < 2:
+        for _, node, chunk, raw in _by_key(batches):
+            if len(node) < 2:
                 continue
             apart = chunk[0] >= 0
-            root = classes_of(fp.view(np.uint64), radius, chunk if apart else None)
+            root = classes_of(np.frombuffer(b"".join(raw), "<u8").reshape(len(raw), -1), radius, chunk if apart else None)
             mine = np.flatnonzero(root != np.arange(len(root)))
             if len(mine):
-                yield pa.RecordBatch.from_arrays([pa.array(fp[mine]), pa.array(fp[root[mine]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array(node[root[mine]])], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _population(bits: str):
+    """Set bits of a binary column of whole words."""
+    return F.expr(f"aggregate(sequence(0, CAST(octet_length({bits}) DIV 8 AS INT) - 1), 0, (s, k) -> s + bit_count(CAST(conv(hex(substring({bits}, 8 * k + 1, 8)), 16, -10) AS BIGINT)))")
+
+
+def ranges(n: int, radius: int, row: int = 1000) -> int:
+    """The number of bit ranges that costs least for n fingerprints: a table costs each row as much as `row` comparisons, and the comparisons that blocks of that size need."""
+    return min(range(radius + 1, radius + 5), key=lambda m: math.comb(m, radius) * (row + n / 2 ** (64 / m * (m - radius))))
+
+
+def links(distinct: DataFrame, radius: int = 4, most: int = 50_000, parts: int | None = None) -> DataFrame:
+    """(a, b): a spanning forest, block by block, of the links between distinct fingerprints `fp`. parts: the number of bit ranges, by default from the number of fingerprints."""
+    m = parts or ranges(distinct.count(), radius)
+    edges = [round(64 * k / m) for k in range(m + 1)]
+    masks = [sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen) for chosen in combinations(range(m), m - radius)]
+    signed = [x - (1 << 64) if x >> 63 else x for x in masks]
+    key = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(x).cast("long"))) for t, x in enumerate(signed)]
+    return _forest(distinct.select(F.col("fp").alias("node"), _little(F.col("fp")).alias("bits"), F.explode(F.array(*key)).alias("block")).select("block", "node", "bits"), radius, most)
+
+
+def _little(col):
+    """A long as eight bytes, the lowest first."""
+    byte = lambda k: F.lpad(F.hex(F.shiftrightunsigned(col, 8 * k).bitwiseAND(F.lit(255))), 2, "0")
+    return F.unhex(F.concat(*[byte(k) for k in range(8)]))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
     """(id, fp, component): of each row its fingerprint and the smallest id of its class."""
     prints = saved(fingerprints(df, id_col, text_col, width, seed), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("id"))
-    found = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    distinct = saved(prints.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
+    found = saved(components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp"), "classes")
+    # a fingerprint without links is a class of its own; only linked ones meet by class
+    rooted = saved(distinct.join(found, "fp"), "rooted")
     named = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    label = rooted.select("fp", "root").join(named, "root").select("fp", "component")
-    return prints.join(label, "fp").select("id", "fp", "component")
+    linked = spread_join(rooted, named, ["root"], "fp").select("fp", "component")
+    label = saved(distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "id").alias("component")), "labels")
+    return spread_join(prints, label, ["fp"], "id").select("id", "fp", "component")
+
+
+def wide_fingerprints(df: DataFrame, keys: list[str], text_col: str, width: int = 5, seed: int = 42) -> DataFrame:
+    """(keys, node long, bits binary, least array<long>) of each row; node is a hash of the bits."""
+    ship(df.sparkSession)
+    src = df.select(*keys, df[text_col].cast("string").alias("text"))
+    at = len(keys)
+
+    def run(batches):
+        for b in _slices(batches):
+            made = [wide_fingerprint(t, width, seed) for t in b.column(at).to_pylist()]
+            bits = [x.astype("<u8").tobytes() for x, _ in made]
+            node = np.array([xxhash.xxh64_intdigest(x, seed) for x in bits], np.uint64).view(np.int64)
+            least = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * TABLES, pa.int32()), pa.array(np.concatenate([x for _, x in made] or [np.empty(0, np.uint64)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(node), pa.array(bits, pa.binary()), least], [*keys, "node", "bits", "least"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:at])
+    return src.mapInArrow(run, f"{fields}, node long, bits binary, least array<long>")
+
+
+def similar_links(distinct: DataFrame, radius: int, most: int = 20_000) -> DataFrame:
+    """distinct (node, bits, least) -> (a, b): links of nodes within the radius that share one of their least hashes."""
+    rows = distinct.select("node", "bits", "least", F.posexplode("least").alias("t", "m")).select("node", "bits", "least", "t", F.xxhash64("t", "m").alias("block"))
+    size = rows.groupBy("block").agg(F.count("*").alias("n")).where("n > 1")
+    rows = spread_join(rows, size, ["block"], "node")
+    small = rows.where(F.col("n") <= most).select("block", "node", "bits")
+    # a link inside a large block agrees in one of the other hashes too
+    other = F.expr("filter(transform(least, (x, k) -> CASE WHEN k <> t THEN xxhash64(block, k, x) END), y -> y IS NOT NULL)")
+    large = rows.where(F.col("n") > most).select(F.explode(other).alias("block"), "node", "bits")
+    return _forest(small.unionByName(large), radius, most)
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
-    """The rows of df that stay, with all their columns: of each class the one with the least id (null ids last, then by a hash of the text)."""
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, similarity: float = 0.8, most: int = 20_000) -> DataFrame:
+    """The rows of df that stay, with all their columns: of each class of texts of that similarity, taken over all links, the one with the least id (null ids last, then by a hash of the text)."""
+    none, key, tie, nth = free_names(df.columns, "none", "id", "tie", "nth")
     # the id as two plain keys, so that the semi-join and the window share one exchange of the texts
-    src = df.withColumns({"__none": df[id_col].isNull(), "__id": F.coalesce(df[id_col].cast("string"), F.lit("")), "__tie": F.xxhash64(df[text_col])})
-    row = F.struct("__none", F.col(id_col).alias("id"), "__id", "__tie").alias("row")
-    prints = saved(fingerprints(src.select(row, text_col), "row", text_col, width, seed), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("best"))
-    found = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.__none", "best.__id", "best.__tie")
-    keys = ["__none", "__id", "__tie"]
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy("__tie"))
-    return src.join(stay, keys, "left_semi").withColumn("__nth", first).where("__nth = 1").select(*df.columns)
+    src = df.withColumns({none: df[id_col].isNull(), key: F.coalesce(df[id_col].cast("string"), F.lit("")), tie: F.xxhash64(df[text_col])})
+    row = F.struct(F.col(none).alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"), F.col(tie).alias("tie"))
+    prints = saved(wide_fingerprints(src.select(row.alias("row"), F.col(text_col).alias("text")), ["row"], "text", width, seed), "fingerprints")
+    distinct = saved(prints.select("node", "bits", "least").dropDuplicates(["node"]), "distinct")
+    found = saved(components(similar_links(distinct, radius_for(similarity), most)), "classes")
+    best = prints.groupBy("node").agg(F.min("row").alias("best")).join(found, "node", "left")
+    stay = best.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.none").alias(none), F.col("best.key").alias(key), F.col("best.tie").alias(tie))
+    keys = [none, key, tie]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(tie))
+    return src.join(stay, keys, "left_semi").withColumn(nth, first).where(F.col(nth) == 1).select(*df.columns)

@@ -9,7 +9,7 @@ import corpus_pipeline as cp
 from folioforge.llm import bpe, pii, quality
 
 from .test_mixing import filled
-from .test_simhash_dedup import plain_fingerprint
+from .test_simhash_dedup import plain_groups
 
 PATH, PATTERN = bpe.vocabulary()
 ORACLE = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}, special_tokens={})
@@ -23,18 +23,9 @@ def brute(spark, d):
     docs = [r.asDict() for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     model = quality.fit_from(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
     docs = [x for x in docs if model.score([x["text"]])[0] >= 0.3]
-    fps = [plain_fingerprint(x["text"]) for x in docs]
-    parent = list(range(len(docs)))
+    group = plain_groups([x["text"] for x in docs])
+    find = group.__getitem__
 
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(docs)):
-        for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= 4:
-                parent[find(i)] = find(j)
     least = {}
     for i, x in enumerate(docs):
         least[find(i)] = min(least.get(find(i), x["doc_id"]), x["doc_id"])
@@ -75,7 +66,9 @@ def test_equals_brute_force(spark):
 def test_stages_keep_columns_and_bear_edge_rows(spark, tmp_path):
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(20)), "en", f"s{i % 3}", 5, "more") for i in range(20)]
     rows += [(3, rows[3][1], "en", "s0", 5, "more"), (None, None, None, None, None, None), (99, "", "en", None, 0, ""), (100, "x" * 50_000, "en", "s1", 1, "")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __extra string")
+    own = ["__id", "__none", "__tie", "__nth", "__part", "__source", "__times", "__edge", "__epochs", "__copy", "node", "Least"]
+    rows = [(*r, *[f"{c} {k}" for c in own]) for k, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __extra string, " + ", ".join(f"`{c}` string" for c in own))
     df.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
@@ -83,6 +76,7 @@ def test_stages_keep_columns_and_bear_edge_rows(spark, tmp_path):
     for _, stage in cp.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == df.columns
+        assert all(r[c].startswith(f"{c} ") for r in docs.collect() for c in own)
         counts.append(docs.count())
     assert counts[0] == 24 and counts[1] == 22  # the repeated row goes, and one of the two without words
     assert cp.STAGES[-1][1](spark, docs, str(tmp_path)).where("NOT round_trip").count() == 0

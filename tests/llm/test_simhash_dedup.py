@@ -37,6 +37,36 @@ def plain_classes(rows, radius=4):
     return sorted(((k is None, k or 0), f"{f:016x}", least.get(find(i))) for i, ((k, _), f) in enumerate(zip(rows, fps, strict=True)))
 
 
+def plain_groups(texts, width=5, similarity=0.8):
+    """The group of each text, from all pairs: 512 bits by the rule of the docstring, links within the radius that share a least hash."""
+    wide = (1 << 64) - 1
+
+    def mix(h, k):
+        z = (h + k * 0x9E3779B97F4A7C15) & wide
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & wide
+        z = (z ^ z >> 27) * 0x94D049BB133111EB & wide
+        return z ^ z >> 31
+
+    prints = []
+    for t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        h = {xxhash.xxh64_intdigest(" ".join(words[i : i + width]).encode(), 42) for i in range(max(1, len(words) - width + 1))} if words else set()
+        bits = 0
+        for k in range(1, 9):
+            mixed = np.array([mix(x, k) for x in h], "<u8").view(np.uint8).reshape(-1, 8)
+            votes = np.unpackbits(mixed, axis=1, bitorder="little").sum(0, dtype=np.int64)
+            bits |= sum(1 << b for b in np.flatnonzero(2 * votes > len(h)).tolist()) << 64 * (k - 1)
+        prints.append((bits, [min((mix(x, 1000 + k) for x in h), default=0) for k in range(8)]))
+    radius = sd.radius_for(similarity)
+    group = list(range(len(texts)))
+    for i, (x, a) in enumerate(prints):
+        for j, (y, b) in enumerate(prints[:i]):
+            if any(p == q for p, q in zip(a, b, strict=True)) and (x ^ y).bit_count() <= radius and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return group
+
+
 def shown(df):
     return sorted(((r.doc_id is None, r.doc_id or 0), r.fingerprint, r.component_id) for r in df.collect())
 
@@ -81,6 +111,63 @@ def test_large_blocks_are_cut_and_lose_nothing(spark):
         assert {g.node for g in got} == set(fps) and len({g.root for g in got}) == 1
 
 
+def _copies(r, n):
+    """Texts of which some are copies of others with some words changed."""
+    made = [[f"w{r.integers(0, 5000)}" for _ in range(int(r.integers(1, 120)))] for _ in range(n)]
+    for _ in range(n):
+        t = list(made[int(r.integers(0, n))])
+        for _ in range(int(r.integers(0, 6))):
+            t[int(r.integers(0, len(t)))] = "changed"
+        made.append(t)
+    return [" ".join(t) for t in made]
+
+
+def test_similar_texts_by_brute_force_with_split_blocks(spark):
+    texts = _copies(np.random.default_rng(9), 60) + ["", None, "one two", "One  two"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = plain_groups(texts)
+    assert 40 < len(set(group)) < len(texts) - 10
+    for most in (4, 20_000):
+        assert sorted(r.doc_id for r in sd.drop_near_duplicates(df, most=most).collect()) == sorted(set(group)), most
+
+
+def test_similarity_that_the_groups_stand_for(spark):
+    """Against exact Jaccard similarity: links at 0.8 and more are found, links under 0.6 are not made."""
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    docs = list(dict.fromkeys(docs))
+    sets = [set(sd.shingle_hashes(t, 5, 42).tolist()) for t in docs]
+    prints = [sd.wide_fingerprint(t) for t in docs]
+    bits, least = np.array([p[0] for p in prints]), np.array([p[1] for p in prints])
+    radius, found = sd.radius_for(0.8), 0
+    for i in range(len(docs)):
+        apart = np.bitwise_count(bits[i] ^ bits[:i]).sum(1)
+        linked = (apart <= radius) & (least[i] == least[:i]).any(1)
+        for j in range(i):
+            both = len(sets[i] & sets[j]) if linked[j] or apart[j] < 150 else 0
+            jaccard = both / (len(sets[i]) + len(sets[j]) - both)
+            assert not (jaccard >= 0.8 and not linked[j]) and not (jaccard < 0.6 and linked[j]), (i, j, jaccard)
+            found += jaccard >= 0.8
+    assert found >= 3
+
+
+def test_any_number_of_bit_ranges_gives_the_same_classes(spark):
+    from folioforge.llm.components import components
+
+    r = np.random.default_rng(2)
+    fps = {int(x) for x in r.integers(-(1 << 62), 1 << 62, 80)}
+    for x in list(fps):
+        fps |= {x ^ sum(1 << int(k) for k in set(r.integers(0, 63, int(r.integers(1, 6))).tolist())) for _ in range(3)}
+    df = spark.createDataFrame([(f,) for f in sorted(fps)], "fp long")
+    out = []
+    for parts in (5, 6, 7):
+        classes = {}
+        for g in components(sd.links(df, 4, parts=parts)).collect():
+            classes.setdefault(g.root, set()).add(g.node)
+        out.append({frozenset(c) for c in classes.values()})
+    assert out[0] == out[1] == out[2] and len(out[0]) > 30
+    assert [sd.ranges(n, 4) for n in (10**3, 10**8, 10**10, 10**12)] == [5, 6, 7, 8]
+
+
 def test_query_and_edge_rows(spark, tmp_path):
     long = " ".join(f"w{i}" for i in range(400))
     rows = [(1, long), (2, long.replace("w3 ", "W3  ")), (3, long + " tail"), (4, None), (5, ""), (6, " \t\n"), (7, "two words"), (8, "Two\nwords"), (9, "other text of five words"), (None, "no id at all here"), (9, "other text of five words"), (12, "x" * 50_000)]

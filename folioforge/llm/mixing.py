@@ -10,8 +10,7 @@ order up to the exact budget; the row on the edge is cut inside.
 
 Targets: the share of all sizes is split by weight; a source stops at
 `most` times its size and the excess is split again by weight among the
-others, until none is above. That fixed point is min(most * size, level *
-weight) for one level, found from the sources in order of size / weight.
+others, until none is above, round by round over a table of the sources.
 
 Null text has size 0. A null source is a source, the last one. Equal ids are
 ordered by a hash of their text; equal rows are interchangeable. Sizes of 0
@@ -36,22 +35,38 @@ def key(col):
     return F.conv(F.substring(F.md5(F.coalesce(col.cast("string"), F.lit("null"))), 1, 15), 16, 10).cast("long")
 
 
+def _weighed(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """(source, source_size, weight): weights repeat in code point order, null last. Sources are dealt to ranges of names and numbered inside them; of a range only its count comes to the driver."""
+    ranged = saved(sizes.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "sources")
+    before, total = [], 0
+    for r in sorted(ranged.groupBy("part").count().collect()):
+        before += [F.lit(r[0]), F.lit(total)]
+        total += r[1]
+    start = F.element_at(F.create_map(*before), F.col("part")) if before else F.lit(0)
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1 + start
+    weight = F.element_at(F.array(*map(F.lit, weights)), (nth % len(weights) + 1).cast("int")).cast("long")
+    return saved(ranged.select("source", "source_size", weight.alias("weight")), "weights")
+
+
 def targets(sizes: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """(source, source_size) -> also target double. A row for each source; weights repeat in code point order, null last."""
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    cycle = F.array(*map(F.lit, weights))
-    w = sizes.withColumn("weight", F.element_at(cycle, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")).cast("long"))
-    by_ratio = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, everything = by_ratio.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    w = w.withColumn("total", F.sum("source_size").over(everything) * F.lit(float(share)))
-    w = w.withColumn("left", F.col("total") - F.coalesce(F.sum("source_size").over(before), F.lit(0)) * most)
-    w = w.withColumn("open", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    # the first source in this order that its share of what is left does not fill ends the capped ones
-    w = w.withColumn("free", F.expr(f"left * weight < {most} * source_size * open").cast("int"))
-    w = w.withColumn("frees", F.max("free").over(by_ratio.rowsBetween(Window.unboundedPreceding, 0)))
-    level = F.min(F.when(F.col("frees") == 1, F.struct(F.col("open") * -1, F.col("left") / F.col("open")))).over(everything)["col2"]
-    w = w.withColumn("level", level)
-    return w.select("source", "source_size", F.when(F.col("frees") == 1, F.col("level") * F.col("weight")).otherwise((F.col("source_size") * most).cast("double")).alias("target"))
+    """(source, source_size) -> also target double. A row for each source; weights repeat in code point order, null last.
+
+    Each round splits what is left by weight among the sources that are not full; those it fills are taken out. Sums of a
+    round are all that reaches the driver, and the rounds end when none is filled any more."""
+    w = _weighed(sizes, weights)
+    sums = lambda rows: [int(x or 0) for x in rows.agg(F.sum("source_size"), F.sum("weight")).first()]
+    size, open_ = every = sums(w)
+    total = float(size) * float(share)
+    left, seen = total, None
+    while True:
+        full = F.lit(left) * F.col("weight") >= F.lit(most) * F.col("source_size") * F.lit(open_)
+        held = sums(w.where(full))
+        if held == seen or open_ == 0:
+            break
+        seen = held
+        left, open_ = total - float(held[0] * most), every[1] - held[1]
+    share_of = F.lit(left / open_ if open_ else 0.0) * F.col("weight")
+    return w.select("source", "source_size", F.when(full, (F.col("source_size") * most).cast("double")).otherwise(share_of).alias("target"))
 
 
 def _ordered(df: DataFrame, share: float, most: int, weights: tuple[int, ...], ranges: int, id_col: str, text_col: str, source_col: str) -> DataFrame:

@@ -13,10 +13,13 @@ makes it a probability.
 
 Only the text enters a score: never label, language, source or id.
 
-Fitting takes at most `most` labelled rows (those with the least hash of
-their id among rows of the training folds); scoring runs over all rows and
-whole texts. Null text counts as empty; empty texts get a score too. Rows
-with a null id count as training rows by their fold but have no label.
+Fitting takes a bounded sample of the labelled rows of the training folds: at
+most `most` rows, in the order of a hash of their id, and at most `most_bytes`
+of text; a row that would pass the second bound is left out whole. An id that
+stands in several rows gives one of them. The vocabulary has no bound of its
+own; the sample's bounds limit it. Scoring runs over all rows and whole texts.
+Null text counts as empty; empty texts get a score too. Rows with a null id
+have no label; their fold is that of the empty text, so they are held out.
 Further columns are not read; repeated rows are scored alike.
 """
 
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _slices
-from .common import ship
+from .common import saved, ship
 
 _WORD = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 DIM = 64
@@ -135,13 +138,13 @@ def _ids(key: str, model: QualityModel) -> _Ids:
     return held["ids"]
 
 
-def word_vectors(texts: list[str], most: int = 6000, least: int = 5, reach: int = 2, dim: int = DIM) -> tuple[dict[str, int], np.ndarray]:
+def word_vectors(texts: list[str], least: int = 5, reach: int = 2, dim: int = DIM) -> tuple[dict[str, int], np.ndarray]:
     """(vocabulary, vectors): context vectors by random indexing, beside the index vectors."""
     seen: dict[str, int] = {}
     for t in texts:
         for w in set(_WORD.findall(t)):
             seen[w] = seen.get(w, 0) + 1
-    words = sorted((w for w, c in seen.items() if c >= least), key=lambda w: (-seen[w], w))[:most]
+    words = sorted((w for w, c in seen.items() if c >= least), key=lambda w: (-seen[w], w))
     vocabulary = {w: N + i for i, w in enumerate(words)}
     names = [*CLASSES, *words]
     index = np.stack([index_vector(w, dim) for w in names])
@@ -216,8 +219,8 @@ def fold(col):
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def fit_from(documents: DataFrame, labels: DataFrame, most: int = 6000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
-    """Fit on at most `most` labelled rows outside fold 0, those with the least hash of the id; that many texts come to the driver."""
+def fit_from(documents: DataFrame, labels: DataFrame, most: int = 6000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_bytes: int = 64 << 20) -> QualityModel:
+    """Fit on at most `most` labelled rows outside fold 0, those with the least hash of the id, of at most `most_bytes` together; that much text comes to the driver."""
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
         .where("id IS NOT NULL AND label IS NOT NULL")
@@ -227,16 +230,26 @@ def fit_from(documents: DataFrame, labels: DataFrame, most: int = 6000, id_col:
         .orderBy(F.xxhash64("id"), "id")
         .limit(most)
     )
-    rows = documents.select(documents[id_col].alias("id"), documents[text_col].cast("string").alias("text")).join(F.broadcast(chosen), "id").collect()
-    rows = sorted({(r.id, r.text or "", int(r.label > 0)) for r in rows}, key=lambda r: (zlib.crc32(str(r[0]).encode()), r))
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    # `most` rows of two numbers
+    rows = documents.select(documents[id_col].alias("id"), F.coalesce(documents[text_col].cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    rows = saved(rows.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("id", "label", "t.text"), "labelled")
+    sizes = rows.select("id", F.octet_length("text").alias("n"), F.xxhash64("id").alias("h")).collect()
+    taken, room = [], most_bytes
+    for r in sorted(sizes, key=lambda r: (r.h, str(r.id))):
+        if r.n <= room:
+            room -= r.n
+            taken.append(r.id)
+    if len(taken) < len(sizes):
+        rows = rows.where(F.col("id").isin(taken))
+    found = sorted(((r.id, r.text, int(r.label > 0)) for r in rows.collect()), key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
+    return fit([r[1] for r in found], [r[2] for r in found])
 
 
 def score(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score double) of every row."""
     spark = df.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(model)  # bounded: at most 6,000 words of about 140 numbers
+    held = spark.sparkContext.broadcast(model)  # a few hundred bytes for each word that stands in five texts of the bounded sample
     src = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
 
     def run(batches):

@@ -11,9 +11,12 @@ long, in chunks of 8,192 terms whose counters cannot run over; so there is no
 shuffle and no row per term. Texts without a term have fingerprint 0.
 
 within() finds all fingerprints in a Hamming radius r: the bits are cut into
-r + 1 blocks, table k holds the fingerprints rotated so that block k leads, and
-two fingerprints in the radius agree in the leading block of one table at
-least. Tables join by that block and the distance is checked.
+m ranges, of which a difference in the radius leaves m - r untouched at least. For each
+choice of m - r ranges a table holds the fingerprints with those bits in front
+(the others masked off), so two fingerprints in the radius agree in the leading
+bits of one table at least. Tables join by them, a value that many fingerprints
+share is dealt to many parts, and the distance is checked. m comes from the
+number of fingerprints: the longer the leading bits, the fewer meet by chance.
 
 Null text counts as empty. Rows with a null id come last in descending order.
 Rows with equal ids are ordered by a hash of their text. Further columns are
@@ -22,10 +25,15 @@ not read; repeated rows give repeated results.
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import saved, spread_join
+
 _ONES = 0x0001000100010001
 _CHUNK = 8192
 
@@ -88,7 +96,8 @@ def with_next(df: DataFrame, parts: int, columns: tuple[str, ...]) -> DataFrame:
 
 def edited(df: DataFrame, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_chars, edited, fp, edited_fp, next_fp) of every row; edited: the last half of the text replaced by as much of the start of the next one."""
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # ranges hold equal numbers of rows, not of bytes: with more of them than tasks the largest is less of the whole
+    n = parts or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
     rows = with_fingerprint(rows.withColumn("tie", F.xxhash64("text")), "text", "fp")
     rows = with_next(rows, n, ("text", "fp"))
@@ -98,18 +107,40 @@ def edited(df: DataFrame, parts: int | None = None, id_col: str = "doc_id", text
     return rows.select("id", "n_chars", "edited", "fp", "edited_fp", "next_fp")
 
 
-def within(queries: DataFrame, corpus: DataFrame, radius: int = 3) -> DataFrame:
-    """(query_fp, fp, distance): for each distinct fingerprint of queries all distinct ones of corpus in the radius, itself included."""
-    blocks = radius + 1
-    width = 64 // blocks
+def ranges(n: int, radius: int, row: int = 1000) -> int:
+    """The number of bit ranges that costs least for n fingerprints: a table costs each row as much as `row` comparisons, and the comparisons that agreeing by chance brings."""
+    return min(range(radius + 1, radius + 5), key=lambda m: math.comb(m, radius) * (row + n / 2 ** (64 / m * (m - radius))))
+
+
+def masks(m: int, radius: int) -> list[int]:
+    """Bits that lead in each table, as signed longs."""
+    edges = [round(64 * k / m) for k in range(m + 1)]
+    bits = [sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen) for chosen in combinations(range(m), m - radius)]
+    return [x - (1 << 64) if x >> 63 else x for x in bits]
+
 
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        # rotated left so that block k leads; its bits are the key of table k
-        lead = [F.struct(F.lit(k).alias("k"), F.expr(f"shiftrightunsigned(shiftleft(fp, {k * width}), {64 - (width if k < blocks - 1 else 64 - width * (blocks - 1))})").alias("block")) for k in range(blocks)]
-        return df.select("fp").distinct().select(F.col("fp").alias(name), F.explode(F.array(*lead)).alias("t")).select(name, "t.k", "t.block")
+def within(queries: DataFrame, corpus: DataFrame, radius: int = 3, parts: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(query_fp, fp, distance, columns of corpus to keep): for each distinct fingerprint of queries all distinct ones of corpus in the radius, itself included.
 
-    pairs = tables(queries, "query_fp").join(tables(corpus, "fp"), ["k", "block"])
-    far = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp")))
+    corpus holds a fingerprint once if there are columns to keep. parts: the number of bit ranges, by default from the number of rows of corpus."""
+    lead = masks(parts or ranges(corpus.count(), radius), radius)
+
+    def tables(df: DataFrame, name: str, *more: str) -> DataFrame:
+        rows = [F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(x).cast("long")).alias("lead")) for k, x in enumerate(lead)]
+        return df.select(F.col("fp").alias(name), *more, F.explode(F.array(*rows)).alias("t")).select(name, *more, "t.k", "t.lead")
+
+    own = corpus if keep else corpus.select("fp").distinct()
+    pairs = spread_join(tables(own, "fp", *keep), tables(queries.select("fp").distinct(), "query_fp"), ["k", "lead"], "fp")
+    apart = F.col("query_fp").bitwiseXOR(F.col("fp"))
     # a pair meets in several tables; the first one in which it meets stands for it, so no distinct is needed
-    first = F.expr("CASE " + " ".join(f"WHEN shiftrightunsigned(shiftleft(query_fp ^ fp, {k * width}), {64 - (width if k < blocks - 1 else 64 - width * (blocks - 1))}) = 0 THEN {k}" for k in range(blocks)) + " END")
-    return pairs.where((far <= radius) & (F.col("k") == first)).select("query_fp", "fp", far.alias("distance"))
+    first = F.expr("CASE " + " ".join(f"WHEN ((query_fp ^ fp) & {x}L) = 0 THEN {k}" if x > -(1 << 63) else f"WHEN ((query_fp ^ fp) & (-9223372036854775807L - 1L)) = 0 THEN {k}" for k, x in enumerate(lead)) + " END")
+    return pairs.where((F.bit_count(apart) <= radius) & (F.col("k") == first)).select("query_fp", "fp", F.bit_count(apart).alias("distance"), *keep)
+
+
+def near_counts(rows: DataFrame, asked: Column, radius: int = 3) -> DataFrame:
+    """rows (id, fp, ...), a table -> also n_near: how many rows have a fingerprint in the radius, the row itself included; null where `asked` does not hold."""
+    counts = saved(rows.groupBy("fp").agg(F.count("*").alias("n")), "counts")
+    asked = F.coalesce(asked, F.lit(False))
+    found = within(rows.where(asked), counts, radius, keep=("n",)).groupBy(F.col("query_fp").alias("fp")).agg(F.sum("n").alias("n_near"))
+    told = spread_join(rows.where(asked), saved(found, "near"), ["fp"], "id")
+    return told.select(*rows.columns, "n_near").unionByName(rows.where(~asked).withColumn("n_near", F.lit(None).cast("long")))

@@ -38,7 +38,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +49,7 @@ from pyspark.sql.window import Window
 from .bpe import _slices
 from .common import free_names, saved, ship, spread_join
 from .components import components
+from .simhash import masks, ranges
 
 TILE = 1024
 
@@ -225,18 +225,10 @@ def _population(bits: str):
     return F.expr(f"aggregate(sequence(0, CAST(octet_length({bits}) DIV 8 AS INT) - 1), 0, (s, k) -> s + bit_count(CAST(conv(hex(substring({bits}, 8 * k + 1, 8)), 16, -10) AS BIGINT)))")
 
 
-def ranges(n: int, radius: int, row: int = 1000) -> int:
-    """The number of bit ranges that costs least for n fingerprints: a table costs each row as much as `row` comparisons, and the comparisons that blocks of that size need."""
-    return min(range(radius + 1, radius + 5), key=lambda m: math.comb(m, radius) * (row + n / 2 ** (64 / m * (m - radius))))
-
-
 def links(distinct: DataFrame, radius: int = 4, most: int = 50_000, parts: int | None = None) -> DataFrame:
     """(a, b): a spanning forest, block by block, of the links between distinct fingerprints `fp`. parts: the number of bit ranges, by default from the number of fingerprints."""
     m = parts or ranges(distinct.count(), radius)
-    edges = [round(64 * k / m) for k in range(m + 1)]
-    masks = [sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen) for chosen in combinations(range(m), m - radius)]
-    signed = [x - (1 << 64) if x >> 63 else x for x in masks]
-    key = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(x).cast("long"))) for t, x in enumerate(signed)]
+    key = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(x).cast("long"))) for t, x in enumerate(masks(m, radius))]
     return _forest(distinct.select(F.col("fp").alias("node"), _little(F.col("fp")).alias("bits"), F.explode(F.array(*key)).alias("block")).select("block", "node", "bits"), radius, most)
 
 

@@ -203,14 +203,20 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, end_id: int | None
     return manifest
 
 
-def _mapped(folder: str, name: str, kind) -> np.ndarray:
-    """A file as an array: memory-mapped where it lies in a mounted folder, else read."""
+def _reader(folder: str, name: str, kind):
+    """A function of (first, last) for the items of a file in that range: memory-mapped where the file lies in a mounted folder, else read by range."""
     store, top = _store(folder)
     if store.type_name == "local":
         path = f"{top}/{name}"
-        return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
-    with store.open_input_file(f"{top}/{name}") as f:
-        return np.frombuffer(f.read(), kind)
+        items = np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
+        return lambda a, z: items[a:z]
+    file, width = store.open_input_file(f"{top}/{name}"), np.dtype(kind).itemsize
+
+    def read(a: int, z: int) -> np.ndarray:
+        file.seek(a * width)
+        return np.frombuffer(file.read((z - a) * width), kind)
+
+    return read
 
 
 def read_tokens(spark: SparkSession, folder: str, manifest: list[tuple[int, int, int]], width: str = "<u2", step: int = 512) -> DataFrame:
@@ -219,27 +225,27 @@ def read_tokens(spark: SparkSession, folder: str, manifest: list[tuple[int, int,
     schema = "key long, start long, n_tokens long, ids binary"
     if not manifest:
         return spark.createDataFrame([], schema)
-    # (part, base, first row) of at most 64 pieces a part; the manifest has a line for each part
-    todo = [(p, b, at, min(at + max(step, -(-r // 64)), r)) for p, b, r in manifest for at in range(0, r, max(step, -(-r // 64)))]
-    jobs = spark.createDataFrame(todo, "part long, base long, first long, last long").repartition(min(len(todo), max(len(manifest), spark.sparkContext.defaultParallelism)))
+    # (part, base, rows, first row, last) of at most 64 pieces a part; the manifest has a line for each part
+    todo = [(p, b, r, at, min(at + max(step, -(-r // 64)), r)) for p, b, r in manifest for at in range(0, r, max(step, -(-r // 64)))]
+    jobs = spark.createDataFrame(todo, "part long, base long, rows long, first long, last long").repartition(min(len(todo), max(len(manifest), spark.sparkContext.defaultParallelism)))
 
     def run(batches):
         for batch in batches:
             for j in batch.to_pylist():
                 name = f"part-{j['part']:05d}"
-                offsets, ids = _mapped(folder, f"{name}.idx", "<u8"), _mapped(folder, f"{name}.bin", width)
-                raw = _mapped(folder, f"{name}.key", "u1")
-                n = len(offsets) - 1
-                keys, null = raw[: 8 * n].view("<i8"), raw[8 * n :]
+                n = j["rows"]
+                offsets, ids = _reader(folder, f"{name}.idx", "<u8"), _reader(folder, f"{name}.bin", width)
+                raw = _reader(folder, f"{name}.key", "u1")
                 for at in range(j["first"], j["last"], step):
                     to = min(at + step, j["last"])
-                    o = offsets[at : to + 1].astype(np.int64)
+                    o = offsets(at, to + 1).astype(np.int64)
+                    keys, null = raw(8 * at, 8 * to).view("<i8"), raw(8 * n + at, 8 * n + to)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([None if z else int(k) for k, z in zip(keys[at:to], null[at:to], strict=True)], pa.int64()),
+                            pa.array([None if z else int(k) for k, z in zip(keys, null, strict=True)], pa.int64()),
                             pa.array(o[:-1] + j["base"], pa.int64()),
                             pa.array(np.diff(o), pa.int64()),
-                            pa.array([ids[a:z].astype("<u4").tobytes() for a, z in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)], pa.binary()),
+                            pa.array([ids(a, z).astype("<u4").tobytes() for a, z in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)], pa.binary()),
                         ],
                         ["key", "start", "n_tokens", "ids"],
                     )

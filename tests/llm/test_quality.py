@@ -56,3 +56,47 @@ def test_keep_good_keeps_columns(spark):
     model = quality.fit(["good words"] * 8 + ["%%% ###"] * 8, [1] * 8 + [0] * 8)
     df = spark.createDataFrame([(1, "good words", 2.5), (2, "%%% ###", None)], "doc_id long, text string, extra double")
     assert [tuple(r) for r in quality.keep_good(df, model).collect()] == [(1, "good words", 2.5)]
+
+
+def plain_score(model, text):
+    """A document's score word by word, without numpy's tables."""
+    import re
+
+    words = re.findall(r"[^\W_]+|[^\w\s]+|_+", text or "")
+    shape = lambda w: 6 if len(w) > 24 else 3 if w.isdigit() else 5 if not w[0].isalnum() else 0 if w.islower() else 2 if len(w) > 1 and w.isupper() else 1 if w.istitle() else 4
+    numbers = [model.vocabulary.get(w, shape(w)) for w in words] or [10]
+    extra = [7] * sum(a == b for a, b in zip(words, words[1:], strict=False)) + [9] * (text or "").count("\n") if words else []
+    pairs = list(zip(words, words[1:], strict=False))
+    extra += [8] * (len(pairs) - len(set(pairs)))
+    x = sum(model.vectors[k].astype(float) for k in numbers + extra) / len(numbers)
+    x = (np.append(x, np.log1p(len(numbers))) - model.mean) / model.scale
+    w1, b1, w2, b2 = model.layers
+    return 1 / (1 + np.exp(-float((np.maximum(x @ w1 + b1, 0) @ w2 + b2[0]) / model.temperature)))
+
+
+def test_scores_equal_a_plain_version(spark):
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = quality.fit_from(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = op7_quality_score(spark, d).collect()
+    assert len(got) == len(texts) and len({r.score for r in got}) > 100
+    for r in got:
+        want = plain_score(model, texts[r.doc_id])
+        assert abs(r.score - want) < 1e-3, r
+        if 1e-6 < want < 1 - 1e-6:
+            logit = lambda p: np.log(p / (1 - p))
+            assert abs(logit(r.score) - logit(want)) < 0.01, r
+        assert r.predicted == int(r.score >= 0.3)
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i} " * (1000 if i == 3 else 1)) for i in range(40)] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda texts, y: seen.append(texts))
+    quality.fit_from(docs, labels)
+    quality.fit_from(docs, labels, most=10)
+    quality.fit_from(docs, labels, most_bytes=200)
+    training = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert len(seen[0]) == len(training) and len(seen[1]) == 10 and sum(len(t) for t in seen[2]) <= 200 and len(seen[2]) > 15

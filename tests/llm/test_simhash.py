@@ -32,19 +32,23 @@ def want(rows):
         e = t[: len(t) - half] + nxt[:half]
         like = lambda a, b: 1 - (a ^ b).bit_count() / 64
         out.append((k, len(t), hashlib.sha256(e.encode()).hexdigest(), f"{plain(t):016x}", f"{plain(e):016x}", like(plain(t), plain(e)), like(plain(t), plain(nxt))))
-    return sorted(out, key=str)
+    prints = [int(o[3], 16) for o in out]
+    near = lambda f: sum((f ^ g).bit_count() <= 3 for g in prints)
+    return sorted(((*o, near(f) if o[0] is not None and o[0] % 100 == 0 else None) for o, f in zip(out, prints, strict=True)), key=str)
 
 
 def test_edge_rows(spark, tmp_path):
     r = random.Random(8)
     text = lambda n: " ".join("".join(r.choice("abcdefé😀") for _ in range(r.randrange(1, 9))) for _ in range(n))
     rows = [(i * 7 - 40, text(r.randrange(0, 40))) for i in range(60)]
-    rows += [(None, "no id"), (1000, None), (1001, ""), (1002, text(20_000)), (5, "twin"), (5, "twin"), (5, "other text of five"), (1003, " \n\t ")]
+    rows += [(None, "no id"), (1000, None), (1001, ""), (1002, text(20_000)), (5, "twin"), (5, "twin"), (5, "other text of five"), (1003, " \n\t "), (200, "twin"), (300, "twin")]
     spark.createDataFrame([(k, t, "x", 1.0) for k, t in rows], "doc_id long, text string, fingerprint string, range double").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
     df = op6_document_fingerprints(spark, str(tmp_path))
     assert sorted((tuple(x) for x in df.collect()), key=str) == want(rows)
-    plan = df._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert len({x.n_near for x in df.collect()}) > 1
+    for made in (df, simhash.edited(spark.read.parquet(f"{tmp_path}/documents.parquet"))):
+        plan = made._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_one_row_and_none(spark, tmp_path):
@@ -73,7 +77,7 @@ def test_tables_find_all_in_the_radius(spark):
             fps.append(x)
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
-    for radius in (0, 2, 3, 4):
-        got = sorted(tuple(x) for x in simhash.within(df.where(F.col("fp") % 3 == 0), df, radius).collect())
+    for radius, parts in ((0, None), (2, 4), (3, None), (3, 6), (4, 6)):
+        got = sorted(tuple(x) for x in simhash.within(df.where(F.col("fp") % 3 == 0), df, radius, parts).collect())
         brute = sorted({(a, b, (a ^ b).bit_count() if (a ^ b) >= 0 else ((a ^ b) + (1 << 64)).bit_count()) for a in signed if abs(a) % 3 == 0 for b in signed if bin((a ^ b) & (2**64 - 1)).count("1") <= radius})
         assert got == brute

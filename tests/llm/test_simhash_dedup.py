@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 
 from folioforge.llm import simhash_dedup as sd
+from folioforge.llm.simhash import ranges
 from folioforge.llm.q_simhash_dedup import op4_simhash_dedup
 
 
@@ -165,7 +166,7 @@ def test_any_number_of_bit_ranges_gives_the_same_classes(spark):
             classes.setdefault(g.root, set()).add(g.node)
         out.append({frozenset(c) for c in classes.values()})
     assert out[0] == out[1] == out[2] and len(out[0]) > 30
-    assert [sd.ranges(n, 4) for n in (10**3, 10**8, 10**10, 10**12)] == [5, 6, 7, 8]
+    assert [ranges(n, 4) for n in (10**3, 10**8, 10**10, 10**12)] == [5, 6, 7, 8]
 
 
 def test_query_and_edge_rows(spark, tmp_path):

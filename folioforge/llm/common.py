@@ -52,13 +52,13 @@ def free_names(taken: list[str], *names: str) -> list[str]:
     return out
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table; with columns only these, dealt out evenly if its files split into fewer parts than there are cores (one file of one row group, say)."""
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = True) -> DataFrame:
+    """A table; with columns only these. spread: rows of a table whose files split into fewer parts than there are cores are dealt out evenly (one file of one row group, say); it moves the texts once and changes no result."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     if not columns:
         return df
     df, cores = df.select(*columns), spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def unsigned_hex(col):

@@ -74,6 +74,7 @@ def _ordered(df: DataFrame, share: float, most: int, weights: tuple[int, ...], r
     size = F.coalesce(F.regexp_count(df[text_col], F.lit(WORD)), F.lit(0)).cast("long")
     rows = df.select(df[id_col].alias("id"), df[source_col].alias("source"), size.alias("size"), F.xxhash64(df[text_col]).alias("tie"))
     rows = rows.withColumn("key", key(F.col("id"))).withColumn("range", (F.col("key") / F.lit(float((1 << 60) // ranges))).cast("int"))
+    rows = saved(rows, "sized")  # a few numbers a row: words are counted once, for the sums, the starts and the mix
     sums = rows.groupBy("source", "range").agg(F.sum("size").alias("n"))
     sizes = targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")), share, most, weights)
     starts = sums.select("source", "range", (F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")).alias("start"))

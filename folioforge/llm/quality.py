@@ -1,8 +1,8 @@
 """Quality classifier: random-indexing word vectors, pooled, under a two-layer network.
 
 Words are runs of letters and digits or of other signs. A word of the
-vocabulary (the words of at least `least` training documents) stands for
-itself, any other for its class of shape; repetition inside a text (a word
+vocabulary (the `words` words of most training documents, of at least `least`:
+the size of the model) stands for itself, any other for its class of shape; repetition inside a text (a word
 equal to the one before it, a word pair met before in the text) adds words of
 its own. Every word has a sparse random index vector; its word vector is the
 sum of the index vectors of the words around it in the training documents,
@@ -16,8 +16,7 @@ Only the text enters a score: never label, language, source or id.
 Fitting takes a bounded sample of the labelled rows of the training folds: at
 most `most` rows, in the order of a hash of their id, and at most `most_bytes`
 of text; a row that would pass the second bound is left out whole. An id that
-stands in several rows gives one of them. The vocabulary has no bound of its
-own; the sample's bounds limit it. Scoring runs over all rows and whole texts.
+stands in several rows gives one of them. Scoring runs over all rows and whole texts.
 Null text counts as empty; empty texts get a score too. Rows with a null id
 have no label; their fold is that of the empty text, so they are held out.
 Further columns are not read; repeated rows are scored alike.
@@ -138,23 +137,23 @@ def _ids(key: str, model: QualityModel) -> _Ids:
     return held["ids"]
 
 
-def word_vectors(texts: list[str], least: int = 5, reach: int = 2, dim: int = DIM) -> tuple[dict[str, int], np.ndarray]:
+def word_vectors(texts: list[str], words: int = 6000, least: int = 5, reach: int = 2, dim: int = DIM) -> tuple[dict[str, int], np.ndarray]:
     """(vocabulary, vectors): context vectors by random indexing, beside the index vectors."""
     seen: dict[str, int] = {}
     for t in texts:
         for w in set(_WORD.findall(t)):
             seen[w] = seen.get(w, 0) + 1
-    words = sorted((w for w, c in seen.items() if c >= least), key=lambda w: (-seen[w], w))
-    vocabulary = {w: N + i for i, w in enumerate(words)}
-    names = [*CLASSES, *words]
+    kept = sorted((w for w, c in seen.items() if c >= least), key=lambda w: (-seen[w], w))[:words]
+    vocabulary = {w: N + i for i, w in enumerate(kept)}
+    names = [*CLASSES, *kept]
     index = np.stack([index_vector(w, dim) for w in names])
     size = len(names)
     ids = _Ids(vocabulary)
     context = np.zeros((size, dim), np.float32)
     documents = np.zeros(size)
-    for at in range(0, len(texts), 256):
+    for at in range(0, len(texts), 64):
         left, right = [], []
-        for t in texts[at : at + 256]:
+        for t in texts[at : at + 64]:
             got, extra = _counts(t, ids)
             documents[np.unique(np.concatenate([got, extra]))] += 1
             for d in range(1, reach + 1):
@@ -166,7 +165,7 @@ def word_vectors(texts: list[str], least: int = 5, reach: int = 2, dim: int = DI
             starts = np.flatnonzero(np.diff(a, prepend=-1))
             context[a[starts]] += np.add.reduceat(index[b] * times[:, None].astype(np.float32), starts, axis=0)
     context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)
-    index /= np.linalg.norm(index, axis=1, keepdims=True)
+    index /= np.maximum(np.linalg.norm(index, axis=1, keepdims=True), 1e-6)  # the signs of a word may cancel out
     rare = np.log1p(len(texts) / (1 + documents)).astype(np.float32)[:, None] + 0.1
     return vocabulary, np.concatenate([context * rare, index * rare, np.eye(size, N, dtype=np.float32) * rare], 1)
 
@@ -188,11 +187,11 @@ def _train(x: np.ndarray, y: np.ndarray, hidden: int, rounds: int, decay: float,
     return [a.astype(np.float32) for a in w]
 
 
-def fit(texts: list[str | None], labels: list[int], hidden: int = 24, rounds: int = 250, decay: float = 1e-3, seed: int = 7) -> QualityModel:
+def fit(texts: list[str | None], labels: list[int], words: int = 6000, hidden: int = 24, rounds: int = 250, decay: float = 1e-3, seed: int = 7) -> QualityModel:
     """Every fifth row calibrates, the others train. Without rows of both labels the score is their share (1/2 without rows)."""
     texts = [t or "" for t in texts]
     y = np.array(labels, np.float64)
-    vocabulary, vectors = word_vectors(texts)
+    vocabulary, vectors = word_vectors(texts, words)
     width = vectors.shape[1] + 1
     model = QualityModel(vocabulary, vectors, np.zeros(width, np.float32), np.ones(width, np.float32), [np.zeros((width, 1), np.float32), np.zeros(1, np.float32), np.zeros(1, np.float32), np.zeros(1, np.float32)], 1.0)
     if not 0 < y.sum() < len(y):
@@ -249,7 +248,7 @@ def score(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col:
     """(id, score double) of every row."""
     spark = df.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(model)  # a few hundred bytes for each word that stands in five texts of the bounded sample
+    held = spark.sparkContext.broadcast(model)  # about 140 numbers for each of the model's words, 3 MB for 6,000
     src = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
 
     def run(batches):

@@ -273,12 +273,11 @@ def similar_links(distinct: DataFrame, radius: int, most: int = 20_000) -> DataF
     """distinct (node, bits, least) -> (a, b): links of nodes within the radius that share one of their least hashes."""
     rows = distinct.select("node", "bits", "least", F.posexplode("least").alias("t", "m")).select("node", "bits", "least", "t", F.xxhash64("t", "m").alias("block"))
     size = rows.groupBy("block").agg(F.count("*").alias("n")).where("n > 1")
-    rows = spread_join(rows, size, ["block"], "node")
-    small = rows.where(F.col("n") <= most).select("block", "node", "bits")
     # a link inside a large block agrees in one of the other hashes too
     other = F.expr("filter(transform(least, (x, k) -> CASE WHEN k <> t THEN xxhash64(block, k, x) END), y -> y IS NOT NULL)")
-    large = rows.where(F.col("n") > most).select(F.explode(other).alias("block"), "node", "bits")
-    return _forest(small.unionByName(large), radius, most)
+    blocks = F.when(F.col("n") > most, other).otherwise(F.array("block"))
+    dealt = spread_join(rows, size, ["block"], "node").select(F.explode(blocks).alias("block"), "node", "bits")
+    return _forest(saved(dealt, "dealt"), radius, most)
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, similarity: float = 0.8, most: int = 20_000) -> DataFrame:

@@ -100,3 +100,9 @@ def test_the_sample_is_bounded(spark, monkeypatch):
     quality.fit_from(docs, labels, most_bytes=200)
     training = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
     assert len(seen[0]) == len(training) and len(seen[1]) == 10 and sum(len(t) for t in seen[2]) <= 200 and len(seen[2]) > 15
+
+
+def test_a_word_whose_signs_cancel_out(monkeypatch):
+    monkeypatch.setattr(quality, "index_vector", lambda w, dim=64, ones=6: np.zeros(dim, np.float32) if w == "void" else np.ones(dim, np.float32))
+    model = quality.fit(["good void words"] * 12 + ["%%% void"] * 12, [1] * 12 + [0] * 12)
+    assert np.isfinite(model.vectors).all() and np.isfinite(model.score(["void", "good words", None])).all()

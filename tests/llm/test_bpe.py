@@ -42,6 +42,40 @@ def test_very_long_pre_tokens():
         assert ids(text) == ORACLE.encode_ordinary(text)
 
 
+def slowly(piece, ranks):
+    """Join the pair of the lowest rank, the leftmost of equals, until no pair can be joined."""
+    parts = [bytes([x]) for x in piece]
+    while True:
+        best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+        if best is None:
+            return [ranks[x] for x in parts]
+        parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+
+
+def test_any_rank_table_and_shared_queues():
+    """Ranks in any order: a merge may bring up a lower rank than its own, which then comes first."""
+    r = random.Random(2)
+    for _ in range(60):
+        words = {bytes(r.choice(b"abc") for _ in range(r.randint(2, 5))) for _ in range(60)}
+        tokens = [*(bytes([i]) for i in range(256)), *words]
+        order = list(range(len(tokens)))
+        r.shuffle(order)
+        ranks = dict(zip(tokens, order))
+        pieces = [bytes(r.choice(b"abcd") for _ in range(r.choice([1, 2, 5, 40]))) for _ in range(30)]
+        got = bpe.merge(pieces, bpe.Ranks(ranks))
+        assert [memoryview(g).cast("I").tolist() for g in got] == [slowly(p, ranks) for p in pieces]
+
+
+def test_long_pre_token_whose_merges_bring_up_lower_ranks():
+    ranks = {bytes([i]): i + 10 for i in range(256)} | {b"ab": 3, b"abc": 1}
+    assert len(bpe.merge([b"abc" * 60_000], bpe.Ranks(ranks))[0]) == 4 * 60_000
+
+
+def test_ranks_too_large_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Ranks({bytes([i]): i for i in range(256)} | {b"ab": 1 << 20})
+
+
 def test_small_caches_are_emptied_not_wrong():
     c = bpe.Codec(PATH, PATTERN, pieces=3, runs=2)
     text = "one two three four\nfive  six, seven\n\n eight "

@@ -16,11 +16,17 @@ by a row grow with the corpus between two such steps and fall at each, instead o
 growing in proportion to it.
 
 drop_near_duplicates(): texts whose sets of five-word shingles have a Jaccard
-similarity of 0.8 or more, told by fingerprints of 512 bits whose radius stands
-for that similarity. Blocks are the least hashes of a text's shingles under eight
-hash functions: two texts agree in one of them with the probability of their
-similarity, so one link in 400,000 at 0.8 shares no block, and texts that share
-no shingle never meet. A block over `most` rows is split by the seven others first.
+similarity of 0.8 or more. Candidates come from fingerprints of 512 bits whose
+radius lies well beyond that similarity (see radius_for). Blocks are the least
+hashes of a text's shingles under eight hash functions: two texts agree in one of
+them with the probability of their similarity, so one link in 400,000 at 0.8
+shares no block, and texts that share no shingle never meet. A block over `most`
+rows is split by the seven others first. Then the sets themselves decide: within
+each class of candidates the tiles are gone through again, and classes are united
+only by a pair whose sets of shingles (XXH64 of each) have the similarity, nearest
+fingerprints first. Only the sets of one text of each set move, and only of
+those that have a candidate; classes over `most` rows or `most_bytes` of sets are
+dealt by their least hashes, then cut.
 
 In both, a block still over `most` rows is cut into chunks and every pair of
 chunks becomes a task of its own. A task returns a spanning forest of its links
@@ -94,17 +100,24 @@ def mixed_bits(hashes: np.ndarray, k: int) -> np.ndarray:
 WORDS, TABLES = 8, 8
 
 
-def wide_fingerprint(text: str | None, width: int = 5, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """(512 bits as words, least hashes): over the set of shingles, so repeats inside a text do not count."""
+def wide_fingerprint(text: str | None, width: int = 5, seed: int = 42) -> tuple[np.ndarray, np.ndarray, int]:
+    """(512 bits as words, least hashes, hash of the set): over the set of shingles, so repeats inside a text do not count."""
     hashes = np.unique(shingle_hashes(text, width, seed))
+    node = xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), seed)
     if not len(hashes):
-        return np.zeros(WORDS, np.uint64), np.zeros(TABLES, np.uint64)
+        return np.zeros(WORDS, np.uint64), np.zeros(TABLES, np.uint64), node
     bits = np.array([majority(mixed_bits(hashes, k)) for k in range(1, WORDS + 1)], np.uint64)
-    return bits, np.array([mixed_bits(hashes, 1000 + k).min() for k in range(TABLES)], np.uint64)
+    return bits, np.array([mixed_bits(hashes, 1000 + k).min() for k in range(TABLES)], np.uint64), node
 
 
-def radius_for(similarity: float, bits: int = 64 * WORDS, spare: float = 1.6) -> int:
-    """Differing bits up to which fingerprints stand for a Jaccard similarity: the mean for sets of equal size (bits differ with the angle between them) and `spare` standard deviations more."""
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Of two sets as arrays without repeats."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(len(x) + len(y) - both, 1)
+
+
+def radius_for(similarity: float, bits: int = 64 * WORDS, spare: float = 6.0) -> int:
+    """Differing bits up to which texts of a Jaccard similarity are candidates: the mean for sets of equal size, the farthest (bits differ with the angle between them), and `spare` standard deviations more, as ties of very small sets (four shingles against five) lie over the mean."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return int(bits * p + spare * math.sqrt(bits * p * (1 - p)))
 
@@ -130,16 +143,47 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent[:] = up
 
 
-def classes_of(bits: np.ndarray, radius: int, chunk: np.ndarray | None = None, stats: dict | None = None) -> np.ndarray:
+def _unite_checked(parent: np.ndarray, rows: np.ndarray, cols: np.ndarray, apart: np.ndarray, sets: list[np.ndarray], similarity: float) -> None:
+    """Unite the classes of those pairs whose sets have the similarity.
+
+    Nearest pairs first, one of each class in the first round and twice as many in each further one, so that
+    most pairs are in one class before their turn and every other one is checked."""
+    order = np.argsort(apart, kind="stable")
+    rows, cols, each = rows[order], cols[order], 1
+    while True:
+        own = parent[rows]
+        left = own != parent[cols]
+        rows, cols, own = rows[left], cols[left], own[left]
+        if not len(rows):
+            return
+        by = np.argsort(own, kind="stable")
+        place = np.arange(len(by))
+        first = np.concatenate([[True], np.diff(own[by]) != 0])
+        turn = by[place - np.maximum.accumulate(np.where(first, place, 0)) < each]
+        for x, y in zip(rows[turn].tolist(), cols[turn].tolist(), strict=True):
+            if jaccard(sets[x], sets[y]) < similarity:
+                continue
+            while parent[x] != x:
+                x = parent[x]
+            while parent[y] != y:
+                y = parent[y]
+            parent[max(x, y)] = min(x, y)
+        _roots(parent)
+        rows, cols = np.delete(rows, turn), np.delete(cols, turn)
+        each *= 2
+
+
+def classes_of(bits: np.ndarray, radius: int, chunk: np.ndarray | None = None, stats: dict | None = None, sets: list[np.ndarray] | None = None, similarity: float = 0.0) -> np.ndarray:
     """For each of the fingerprints (rows of one or more words, sorted by population count) the index of the first one of its class.
 
-    With chunk, only rows of different chunks are compared."""
+    With chunk, only rows of different chunks are compared. With sets, a pair links only if its sets have the similarity too."""
     bits = bits.reshape(len(bits), -1)
     n = len(bits)
     parent = np.arange(n)
     if n < 2:
         return parent
     count = np.bitwise_count(bits).sum(1, dtype=np.int16)
+    size = None if sets is None else np.array([len(x) for x in sets])
     for a in range(0, n, TILE):
         za = min(a + TILE, n)
         for b in range(a, n, TILE):
@@ -157,6 +201,12 @@ def classes_of(bits: np.ndarray, radius: int, chunk: np.ndarray | None = None, s
             near = apart <= radius
             if chunk is not None:
                 near &= chunk[a:za, None] != chunk[None, b:zb]
+            if sets is not None:
+                low, high = np.minimum(size[a:za, None], size[None, b:zb]), np.maximum(size[a:za, None], size[None, b:zb])
+                near &= low >= similarity * high
+                rows, cols = np.nonzero(np.triu(near, 1) if a == b else near)
+                _unite_checked(parent, rows + a, cols + b, apart[rows, cols], sets, similarity)
+                continue
             if a == b:
                 np.fill_diagonal(near, False)
             rows, cols = np.nonzero(near.any(1))[0], np.nonzero(near.any(0))[0]
@@ -192,27 +242,33 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def _forest(dealt: DataFrame, radius: int, most: int) -> DataFrame:
-    """dealt (block, node long, bits binary) -> (a, b): of each block a spanning forest of its links. Blocks over `most` rows are cut into chunks, each pair of which is a task."""
-    size = dealt.groupBy("block").agg(F.ceil(F.count("*") / most).cast("int").alias("chunks"), F.count("*").alias("n")).where("n > 1").select("block", "chunks")
+def _forest(dealt: DataFrame, radius: int, most: int, similarity: float = 0.0, most_bytes: int = 64 << 20) -> DataFrame:
+    """dealt (block, node long, bits binary) -> (a, b): of each block a spanning forest of its links. Blocks over `most` rows are cut into chunks, each pair of which is a task.
+
+    With a column shingles (binary, the set as unsigned 64-bit integers) a link is a pair whose sets have the similarity; blocks over `most_bytes` of them are cut too."""
+    more = ["shingles"] if "shingles" in dealt.columns else []
+    full = F.greatest(F.count("*") / most, *[F.sum(F.octet_length(c)) / most_bytes for c in more]) if more else F.count("*") / most
+    size = dealt.groupBy("block").agg(F.ceil(full).cast("int").alias("chunks"), F.count("*").alias("n")).where("n > 1").select("block", F.greatest("chunks", F.lit(1)).alias("chunks"))
     dealt = spread_join(dealt, size, ["block"], "node")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    dealt = dealt.select("node", "bits", "block", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    dealt = dealt.select("node", "bits", *more, "block", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     dealt = dealt.select(
         F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"), F.col("own") == F.col("other")).alias("task"),
         "node",
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("chunk"),
         "bits",
         _population("bits").alias("count"),
+        *more,
     )
-    dealt = dealt.repartition("task").sortWithinPartitions("task", "count", "node").select("task", "node", "chunk", "bits")
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "count", "node").select("task", "node", "chunk", "bits", *more)
 
     def run(batches):
-        for _, node, chunk, raw in _by_key(batches):
+        for _, node, chunk, raw, *held in _by_key(batches):
             if len(node) < 2:
                 continue
             apart = chunk[0] >= 0
-            root = classes_of(np.frombuffer(b"".join(raw), "<u8").reshape(len(raw), -1), radius, chunk if apart else None)
+            sets = [np.frombuffer(x, "<u8") for x in held[0]] if held else None
+            root = classes_of(np.frombuffer(b"".join(raw), "<u8").reshape(len(raw), -1), radius, chunk if apart else None, sets=sets, similarity=similarity)
             mine = np.flatnonzero(root != np.arange(len(root)))
             if len(mine):
                 yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array(node[root[mine]])], ["a", "b"])
@@ -252,7 +308,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def wide_fingerprints(df: DataFrame, keys: list[str], text_col: str, width: int = 5, seed: int = 42) -> DataFrame:
-    """(keys, node long, bits binary, least array<long>) of each row; node is a hash of the bits."""
+    """(keys, node long, bits binary, least array<long>) of each row; node is a hash of the set of shingles."""
     ship(df.sparkSession)
     src = df.select(*keys, df[text_col].cast("string").alias("text"))
     at = len(keys)
@@ -260,9 +316,9 @@ def wide_fingerprints(df: DataFrame, keys: list[str], text_col: str, width: int
     def run(batches):
         for b in _slices(batches):
             made = [wide_fingerprint(t, width, seed) for t in b.column(at).to_pylist()]
-            bits = [x.astype("<u8").tobytes() for x, _ in made]
-            node = np.array([xxhash.xxh64_intdigest(x, seed) for x in bits], np.uint64).view(np.int64)
-            least = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * TABLES, pa.int32()), pa.array(np.concatenate([x for _, x in made] or [np.empty(0, np.uint64)]).view(np.int64)))
+            bits = [x.astype("<u8").tobytes() for x, _, _ in made]
+            node = np.array([x for _, _, x in made], np.uint64).view(np.int64)
+            least = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * TABLES, pa.int32()), pa.array(np.concatenate([x for _, x, _ in made] or [np.empty(0, np.uint64)]).view(np.int64)))
             yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(node), pa.array(bits, pa.binary()), least], [*keys, "node", "bits", "least"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:at])
@@ -280,17 +336,47 @@ def similar_links(distinct: DataFrame, radius: int, most: int = 20_000) -> DataF
     return _forest(saved(dealt, "dealt"), radius, most)
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, similarity: float = 0.8, most: int = 20_000) -> DataFrame:
+def shingle_sets(df: DataFrame, text_col: str, width: int = 5, seed: int = 42) -> DataFrame:
+    """df with the column of texts replaced by shingles (binary): the set of their hashes, ascending, as unsigned 64-bit integers."""
+    ship(df.sparkSession)
+    keys = [c for c in df.columns if c != text_col]
+    src = df.select(*keys, df[text_col].cast("string").alias("text"))
+
+    def run(batches):
+        for b in _slices(batches):
+            sets = [np.unique(shingle_hashes(t, width, seed)).astype("<u8").tobytes() for t in b.column(len(keys)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(sets, pa.binary())], [*keys, "shingles"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    return src.mapInArrow(run, f"{fields}, shingles binary")
+
+
+def checked_links(members: DataFrame, radius: int, similarity: float, most: int = 20_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """members (node, root, bits, least, shingles) of classes of candidates, a table -> (a, b): a spanning forest, class by class, of the links whose sets have the similarity."""
+    size = members.groupBy("root").agg((F.count("*") > most).alias("many"), (F.sum(F.octet_length("shingles")) > most_bytes).alias("large"))
+    blocks = F.when(F.col("many") | F.col("large"), F.expr("transform(least, (x, k) -> xxhash64(root, k, x))")).otherwise(F.array("root"))
+    dealt = spread_join(members, size, ["root"], "node").select(F.explode(blocks).alias("block"), "node", "bits", "shingles")
+    return _forest(saved(dealt, "dealt"), radius, most, similarity, most_bytes)
+
+
+def drop_near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, similarity: float = 0.8, most: int = 20_000, most_bytes: int = 64 << 20
+) -> DataFrame:
     """The rows of df that stay, with all their columns: of each class of texts of that similarity, taken over all links, the one with the least id (null ids last, then by a hash of the text)."""
     none, key, tie, nth = free_names(df.columns, "none", "id", "tie", "nth")
     # the id as two plain keys, so that the semi-join and the window share one exchange of the texts
     src = df.withColumns({none: df[id_col].isNull(), key: F.coalesce(df[id_col].cast("string"), F.lit("")), tie: F.xxhash64(df[text_col])})
+    keys, radius = [none, key, tie], radius_for(similarity)
+    plain = [F.col("row.none").alias(none), F.col("row.key").alias(key), F.col("row.tie").alias(tie)]
     row = F.struct(F.col(none).alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"), F.col(tie).alias("tie"))
     prints = saved(wide_fingerprints(src.select(row.alias("row"), F.col(text_col).alias("text")), ["row"], "text", width, seed), "fingerprints")
-    distinct = saved(prints.select("node", "bits", "least").dropDuplicates(["node"]), "distinct")
-    found = saved(components(similar_links(distinct, radius_for(similarity), most)), "classes")
-    best = prints.groupBy("node").agg(F.min("row").alias("best")).join(found, "node", "left")
-    stay = best.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.none").alias(none), F.col("best.key").alias(key), F.col("best.tie").alias(tie))
-    keys = [none, key, tie]
+    distinct = saved(prints.groupBy("node").agg(F.min("row").alias("row"), F.first("bits").alias("bits"), F.first("least").alias("least")), "distinct")
+    loose = saved(components(similar_links(distinct.select("node", "bits", "least"), radius, most)), "candidates")
+    some = distinct.join(loose, "node").select(*plain, "node", "root", "bits", "least")
+    texts = src.select(*keys, F.col(text_col).alias("text")).join(some, keys).select("node", "root", "bits", "least", "text")
+    members = saved(shingle_sets(texts, "text", width, seed), "members")
+    found = saved(components(checked_links(members, radius, similarity, most, most_bytes)), "classes")
+    best = distinct.select("node", "row").join(found, "node", "left")
+    stay = best.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("row").alias("row")).select(*plain)
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(tie))
     return src.join(stay, keys, "left_semi").withColumn(nth, first).where(F.col(nth) == 1).select(*df.columns)

@@ -100,14 +100,14 @@ def mixed_bits(hashes: np.ndarray, k: int) -> np.ndarray:
 WORDS, TABLES = 8, 8
 
 
-def wide_fingerprint(text: str | None, width: int = 5, seed: int = 42) -> tuple[np.ndarray, np.ndarray, int]:
-    """(512 bits as words, least hashes, hash of the set): over the set of shingles, so repeats inside a text do not count."""
+def wide_fingerprint(text: str | None, width: int = 5, seed: int = 42) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(512 bits as words, least hashes, hash of the set, its size): over the set of shingles, so repeats inside a text do not count."""
     hashes = np.unique(shingle_hashes(text, width, seed))
     node = xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), seed)
     if not len(hashes):
-        return np.zeros(WORDS, np.uint64), np.zeros(TABLES, np.uint64), node
+        return np.zeros(WORDS, np.uint64), np.zeros(TABLES, np.uint64), node, 0
     bits = np.array([majority(mixed_bits(hashes, k)) for k in range(1, WORDS + 1)], np.uint64)
-    return bits, np.array([mixed_bits(hashes, 1000 + k).min() for k in range(TABLES)], np.uint64), node
+    return bits, np.array([mixed_bits(hashes, 1000 + k).min() for k in range(TABLES)], np.uint64), node, len(hashes)
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -242,25 +242,29 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def _forest(dealt: DataFrame, radius: int, most: int, similarity: float = 0.0, most_bytes: int = 64 << 20) -> DataFrame:
-    """dealt (block, node long, bits binary) -> (a, b): of each block a spanning forest of its links. Blocks over `most` rows are cut into chunks, each pair of which is a task.
+def _tasks(dealt: DataFrame, most: int, most_bytes: int = 64 << 20) -> DataFrame:
+    """dealt (block, node long, bits binary) -> (task, chunk, node, bits): blocks of two rows or more, one task each; those over `most` rows are cut into chunks, each pair of which is a task.
 
-    With a column shingles (binary, the set as unsigned 64-bit integers) a link is a pair whose sets have the similarity; blocks over `most_bytes` of them are cut too."""
-    more = ["shingles"] if "shingles" in dealt.columns else []
-    full = F.greatest(F.count("*") / most, *[F.sum(F.octet_length(c)) / most_bytes for c in more]) if more else F.count("*") / most
-    size = dealt.groupBy("block").agg(F.ceil(full).cast("int").alias("chunks"), F.count("*").alias("n")).where("n > 1").select("block", F.greatest("chunks", F.lit(1)).alias("chunks"))
+    With a column n_bytes, of what a row will bring to its task, blocks over `most_bytes` of it are cut too."""
+    full = F.count("*") / most
+    if "n_bytes" in dealt.columns:
+        full = F.greatest(full, F.sum("n_bytes") / most_bytes)
+    size = dealt.groupBy("block").agg(F.ceil(full).cast("int").alias("chunks"), F.count("*").alias("n")).where("n > 1").select("block", "chunks")
     dealt = spread_join(dealt, size, ["block"], "node")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    dealt = dealt.select("node", "bits", *more, "block", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    dealt = dealt.select(
+    dealt = dealt.select("node", "bits", "block", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    return dealt.select(
         F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"), F.col("own") == F.col("other")).alias("task"),
-        "node",
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("chunk"),
+        "node",
         "bits",
-        _population("bits").alias("count"),
-        *more,
     )
-    dealt = dealt.repartition("task").sortWithinPartitions("task", "count", "node").select("task", "node", "chunk", "bits", *more)
+
+
+def _forest(tasks: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
+    """tasks (task, chunk, node, bits) -> (a, b): of each task a spanning forest of its links. With a column shingles (binary, the set as unsigned 64-bit integers) a link is a pair whose sets have the similarity."""
+    more = ["shingles"] if "shingles" in tasks.columns else []
+    dealt = tasks.withColumn("count", _population("bits")).repartition("task").sortWithinPartitions("task", "count", "node").select("task", "node", "chunk", "bits", *more)
 
     def run(batches):
         for _, node, chunk, raw, *held in _by_key(batches):
@@ -285,7 +289,7 @@ def links(distinct: DataFrame, radius: int = 4, most: int = 50_000, parts: int |
     """(a, b): a spanning forest, block by block, of the links between distinct fingerprints `fp`. parts: the number of bit ranges, by default from the number of fingerprints."""
     m = parts or ranges(distinct.count(), radius)
     key = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(x).cast("long"))) for t, x in enumerate(masks(m, radius))]
-    return _forest(distinct.select(F.col("fp").alias("node"), _little(F.col("fp")).alias("bits"), F.explode(F.array(*key)).alias("block")).select("block", "node", "bits"), radius, most)
+    return _forest(_tasks(distinct.select(F.col("fp").alias("node"), _little(F.col("fp")).alias("bits"), F.explode(F.array(*key)).alias("block")).select("block", "node", "bits"), most), radius)
 
 
 def _little(col):
@@ -308,7 +312,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def wide_fingerprints(df: DataFrame, keys: list[str], text_col: str, width: int = 5, seed: int = 42) -> DataFrame:
-    """(keys, node long, bits binary, least array<long>) of each row; node is a hash of the set of shingles."""
+    """(keys, node long, bits binary, least array<long>, n_bytes long) of each row; node is a hash of the set of shingles, n_bytes what the set takes."""
     ship(df.sparkSession)
     src = df.select(*keys, df[text_col].cast("string").alias("text"))
     at = len(keys)
@@ -316,13 +320,13 @@ def wide_fingerprints(df: DataFrame, keys: list[str], text_col: str, width: int
     def run(batches):
         for b in _slices(batches):
             made = [wide_fingerprint(t, width, seed) for t in b.column(at).to_pylist()]
-            bits = [x.astype("<u8").tobytes() for x, _, _ in made]
-            node = np.array([x for _, _, x in made], np.uint64).view(np.int64)
-            least = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * TABLES, pa.int32()), pa.array(np.concatenate([x for _, x, _ in made] or [np.empty(0, np.uint64)]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(node), pa.array(bits, pa.binary()), least], [*keys, "node", "bits", "least"])
+            bits = [x.astype("<u8").tobytes() for x, _, _, _ in made]
+            node = np.array([x for _, _, x, _ in made], np.uint64).view(np.int64)
+            least = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1) * TABLES, pa.int32()), pa.array(np.concatenate([x for _, x, _, _ in made] or [np.empty(0, np.uint64)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(node), pa.array(bits, pa.binary()), least, pa.array([8 * x for *_, x in made], pa.int64())], [*keys, "node", "bits", "least", "n_bytes"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:at])
-    return src.mapInArrow(run, f"{fields}, node long, bits binary, least array<long>")
+    return src.mapInArrow(run, f"{fields}, node long, bits binary, least array<long>, n_bytes long")
 
 
 def similar_links(distinct: DataFrame, radius: int, most: int = 20_000) -> DataFrame:
@@ -333,7 +337,7 @@ def similar_links(distinct: DataFrame, radius: int, most: int = 20_000) -> DataF
     other = F.expr("filter(transform(least, (x, k) -> CASE WHEN k <> t THEN xxhash64(block, k, x) END), y -> y IS NOT NULL)")
     blocks = F.when(F.col("n") > most, other).otherwise(F.array("block"))
     dealt = spread_join(rows, size, ["block"], "node").select(F.explode(blocks).alias("block"), "node", "bits")
-    return _forest(saved(dealt, "dealt"), radius, most)
+    return _forest(_tasks(saved(dealt, "dealt"), most), radius)
 
 
 def shingle_sets(df: DataFrame, text_col: str, width: int = 5, seed: int = 42) -> DataFrame:
@@ -351,12 +355,12 @@ def shingle_sets(df: DataFrame, text_col: str, width: int = 5, seed: int = 42) -
     return src.mapInArrow(run, f"{fields}, shingles binary")
 
 
-def checked_links(members: DataFrame, radius: int, similarity: float, most: int = 20_000, most_bytes: int = 64 << 20) -> DataFrame:
-    """members (node, root, bits, least, shingles) of classes of candidates, a table -> (a, b): a spanning forest, class by class, of the links whose sets have the similarity."""
-    size = members.groupBy("root").agg((F.count("*") > most).alias("many"), (F.sum(F.octet_length("shingles")) > most_bytes).alias("large"))
-    blocks = F.when(F.col("many") | F.col("large"), F.expr("transform(least, (x, k) -> xxhash64(root, k, x))")).otherwise(F.array("root"))
-    dealt = spread_join(members, size, ["root"], "node").select(F.explode(blocks).alias("block"), "node", "bits", "shingles")
-    return _forest(saved(dealt, "dealt"), radius, most, similarity, most_bytes)
+def checking_tasks(members: DataFrame, most: int = 20_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """members (node, root, bits, least, n_bytes) of classes of candidates, a table -> (node, tasks array<(task, chunk)>): where the set of each has to be. A class is one task; one over `most` rows or `most_bytes` is dealt by its least hashes and cut."""
+    size = members.groupBy("root").agg(((F.count("*") > most) | (F.sum("n_bytes") > most_bytes)).alias("large"))
+    blocks = F.when(F.col("large"), F.expr("transform(least, (x, k) -> xxhash64(root, k, x))")).otherwise(F.array("root"))
+    dealt = spread_join(members, size, ["root"], "node").select(F.explode(blocks).alias("block"), "node", "bits", "n_bytes")
+    return _tasks(saved(dealt, "dealt"), most, most_bytes).groupBy("node").agg(F.collect_list(F.struct("task", "chunk")).alias("tasks"))
 
 
 def drop_near_duplicates(
@@ -370,12 +374,14 @@ def drop_near_duplicates(
     plain = [F.col("row.none").alias(none), F.col("row.key").alias(key), F.col("row.tie").alias(tie)]
     row = F.struct(F.col(none).alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"), F.col(tie).alias("tie"))
     prints = saved(wide_fingerprints(src.select(row.alias("row"), F.col(text_col).alias("text")), ["row"], "text", width, seed), "fingerprints")
-    distinct = saved(prints.groupBy("node").agg(F.min("row").alias("row"), F.first("bits").alias("bits"), F.first("least").alias("least")), "distinct")
+    distinct = saved(prints.groupBy("node").agg(F.min("row").alias("row"), F.first("bits").alias("bits"), F.first("least").alias("least"), F.first("n_bytes").alias("n_bytes")), "distinct")
     loose = saved(components(similar_links(distinct.select("node", "bits", "least"), radius, most)), "candidates")
-    some = distinct.join(loose, "node").select(*plain, "node", "root", "bits", "least")
-    texts = src.select(*keys, F.col(text_col).alias("text")).join(some, keys).select("node", "root", "bits", "least", "text")
-    members = saved(shingle_sets(texts, "text", width, seed), "members")
-    found = saved(components(checked_links(members, radius, similarity, most, most_bytes)), "classes")
+    members = saved(distinct.join(loose, "node").select(*plain, "node", "root", "bits", "least", "n_bytes"), "members")
+    # only now the texts: they meet the tasks they have to be in, so that their sets move once
+    due = members.select(*keys, "node", "bits").join(checking_tasks(members, most, most_bytes), "node")
+    texts = src.select(*keys, F.col(text_col).alias("text")).join(due, keys).select("node", "bits", "tasks", "text")
+    tasks = shingle_sets(texts, "text", width, seed).select(F.explode("tasks").alias("at"), "node", "bits", "shingles").select("at.task", "at.chunk", "node", "bits", "shingles")
+    found = saved(components(_forest(tasks, radius, similarity)), "classes")
     best = distinct.select("node", "row").join(found, "node", "left")
     stay = best.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("row").alias("row")).select(*plain)
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(tie))

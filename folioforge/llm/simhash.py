@@ -7,8 +7,10 @@ where not, with the term's weight: 1 for up to three letters, 3 for up to six,
 again. A bit is set if the votes for it outweigh those against it.
 
 The votes of a text are counted inside its row, four 16-bit counters to a
-long, in chunks of 8,192 terms whose counters cannot run over; so there is no
-shuffle and no row per term. Texts without a term have fingerprint 0.
+long, in chunks of 6,553 terms. Their counters stay under 2^15, whatever the
+terms are: the topmost ends at the sign of the long, and Spark's additions fail
+where they would change it. So there is no shuffle and no row per term. Texts
+without a term have fingerprint 0.
 
 within() finds all fingerprints in a Hamming radius r: the bits are cut into
 m ranges, of which a difference in the radius leaves m - r untouched at least. For each
@@ -35,7 +37,8 @@ from pyspark.sql.window import Window
 from .common import saved, spread_join
 
 _ONES = 0x0001000100010001
-_CHUNK = 8192
+#: Terms of weight 5 whose votes for one bit stay under 2^15.
+_CHUNK = (2**15 - 1) // 5
 
 
 def _terms(text: str) -> str:

@@ -51,6 +51,13 @@ def test_edge_rows(spark, tmp_path):
         assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_one_word_thousands_of_times(spark, tmp_path):
+    words = [(w, n) for w in ("repetition", "another", "seventh", "thones", "of") for n in (6553, 6554, 8192, 13_107, 20_000)]
+    rows = [(k, f"{w} " * n) for k, (w, n) in enumerate(words)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted((tuple(x) for x in op6_document_fingerprints(spark, str(tmp_path)).collect()), key=str) == want(rows)
+
+
 def test_one_row_and_none(spark, tmp_path):
     spark.createDataFrame([(3, "alone here")], "doc_id long, text string").write.parquet(f"{tmp_path}/a/documents.parquet")
     assert [tuple(r) for r in op6_document_fingerprints(spark, f"{tmp_path}/a").collect()] == want([(3, "alone here")])

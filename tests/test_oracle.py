@@ -48,3 +48,14 @@ ALWAYS = {"c12_restore_spans"}
 
 def test_every_query_is_listed():
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
+
+
+def test_score_report_rounds_as_its_sql(spark, tmp_path):
+    # one long line each: the scores are thousandths, every tenth of them halfway between two hundredths
+    rows = [(k, ("word " * 1200)[: 3000 + k]) for k in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source", "length(text) AS n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT doc_id, order_of_sources, best FROM ({catalog.oracle_sql()['a15_score_report']})").fetchall()
+    got = catalog.queries()["a15_score_report"](spark, str(tmp_path)).select("doc_id", "order_of_sources", "best").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(got) == 600

@@ -262,7 +262,7 @@ def _tasks(dealt: DataFrame, most: int, most_bytes: int = 64 << 20) -> DataFrame
 
 
 def _forest(tasks: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame:
-    """tasks (task, chunk, node, bits) -> (a, b): of each task a spanning forest of its links. With a column shingles (binary, the set as unsigned 64-bit integers) a link is a pair whose sets have the similarity."""
+    """tasks (task, chunk, node, bits) -> (a, b): of each task a spanning forest of its links, as stars around the least node of each class. With a column shingles (binary, the set as unsigned 64-bit integers) a link is a pair whose sets have the similarity."""
     more = ["shingles"] if "shingles" in tasks.columns else []
     dealt = tasks.withColumn("count", _population("bits")).repartition("task").sortWithinPartitions("task", "count", "node").select("task", "node", "chunk", "bits", *more)
 
@@ -273,9 +273,12 @@ def _forest(tasks: DataFrame, radius: int, similarity: float = 0.0) -> DataFrame
             apart = chunk[0] >= 0
             sets = [np.frombuffer(x, "<u8") for x in held[0]] if held else None
             root = classes_of(np.frombuffer(b"".join(raw), "<u8").reshape(len(raw), -1), radius, chunk if apart else None, sets=sets, similarity=similarity)
-            mine = np.flatnonzero(root != np.arange(len(root)))
+            least = node.copy()
+            np.minimum.at(least, root, node)
+            least = least[root]
+            mine = np.flatnonzero(node != least)
             if len(mine):
-                yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array(node[root[mine]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array(least[mine])], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 

@@ -199,3 +199,22 @@ def test_real_rows(spark):
     d = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     assert shown(op4_simhash_dedup(spark, d)) == plain_classes(rows)
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    """Every written table is files of many tasks, so classes that a task already named are written once, and a round shows that it was the last one."""
+    from folioforge.llm import components as c
+
+    written = []
+    monkeypatch.setattr(c, "saved", lambda df, name, f=c.saved: written.append(name) or f(df, name))
+    for links, tables in (([(5, 1), (1, 9), (7, 2), (3, 3), (5, 1)], 1), ([(4, 1), (4, 2), (6, 2), (8, 7)], 5), ([(k, k + 1) for k in range(40)], None), ([], 1)):
+        written.clear()
+        got = {r.node: r.root for r in c.components(spark.createDataFrame(links, "a long, b long")).collect()}
+        want = {n: n for x in links if x[0] != x[1] for n in x}
+        for _ in want:
+            for a, b in links:
+                if a != b:
+                    want[a] = want[b] = min(want[a], want[b])
+        assert got == want and (tables is None or len(written) == tables), (links, written)
+    two = spark.createDataFrame([(1, -1, k, bytes([k == 5] * 8)) for k in (9, 5, 3)], "task long, chunk int, node long, bits binary")
+    assert sorted(map(tuple, sd._forest(two, 64).collect())) == [(5, 3), (9, 3)]

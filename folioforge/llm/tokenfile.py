@@ -65,12 +65,14 @@ class LibraryCodec:
 
     def _learn(self, runs: list[str]) -> None:
         texts = [r if r[:1] == "\n" else " " + r for r in runs]
-        ids = self._ids("".join(texts))
+        line = "".join(texts)
+        ids = self._ids(line)
         ends = np.cumsum(self.n_bytes[ids])
-        stops = np.searchsorted(ends, np.cumsum([len(t.encode()) for t in texts]), "left") + 1
-        start = 0
-        for run, stop in zip(runs, stops.tolist(), strict=True):
-            self.young[run] = ids[start:stop].tobytes()
+        sizes = map(len, texts) if line.isascii() else (len(t.encode()) for t in texts)
+        stops = np.searchsorted(ends, np.cumsum(np.fromiter(sizes, np.int64, len(texts))), "left") + 1
+        raw, start = ids.tobytes(), 0
+        for run, stop in zip(runs, (stops * self.width.itemsize).tolist(), strict=True):
+            self.young[run] = raw[start:stop]
             start = stop
 
     def _tail(self, signs: str) -> bytes:
@@ -83,11 +85,13 @@ class LibraryCodec:
 
     def _meet(self, fresh: list[str]) -> None:
         """Learn new runs. Signs behind a letter or digit are a pre-token of their own, so a word is learned once for all signs that follow it."""
+        line = "\n".join(fresh)
+        special = [a for a in self.special if a in line]
         plain: set[str] = set()
         made = []
         for r in fresh:
             stem = r.rstrip(string.punctuation)
-            if len(stem) == len(r) or not (stem[-1:].isalpha() or stem[-1:].isdecimal()) or any(a in r for a in self.special):
+            if len(stem) == len(r) or not ((z := stem[-1:]).isalpha() or z.isdecimal()) or special and any(a in r for a in special):
                 plain.add(r)
                 continue
             made.append((r, stem))
@@ -112,19 +116,24 @@ class LibraryCodec:
             if after_feed:  # a line feed before it is a token of its own, so it can be remembered like the others
                 runs.insert(0, "\n" + first)
             parts.append((after_feed, first, runs, tail))
-        need = set().union(*(runs for _, _, runs, _ in parts)).difference(self.young)
+        # what these texts need, looked up once for all of them: most words come back, and a small table is near at hand
+        need = set().union(*(runs for _, _, runs, _ in parts))
+        held = dict(zip(need, map(self.young.get, need), strict=True))
         fresh = []
-        for r in need:
+        missing = [r for r, got in held.items() if got is None]
+        for r in missing:
             if (got := self.old.get(r)) is None:
                 fresh.append(r)
             else:
                 self.young[r] = got
         if fresh:
             self._meet(fresh)
+        for r in missing:
+            held[r] = self.young[r]
         end = b"" if end_id is None else np.array([end_id], self.width).tobytes()
         out = []
         for after_feed, first, runs, tail in parts:
-            ids = b"".join(map(self.young.__getitem__, runs))
+            ids = b"".join(map(held.__getitem__, runs))
             ids = ids[self.width.itemsize :] if after_feed else self._ids(first).tobytes() + ids
             out.append(ids + (self._ids(tail).tobytes() if tail else b"") + end)
         return out
@@ -240,13 +249,14 @@ def read_tokens(spark: SparkSession, folder: str, manifest: list[tuple[int, int,
                     to = min(at + step, j["last"])
                     o = offsets(at, to + 1).astype(np.int64)
                     keys, null = raw(8 * at, 8 * to).view("<i8"), raw(8 * n + at, 8 * n + to)
+                    held = np.ascontiguousarray(ids(int(o[0]), int(o[-1])), "<u4")
+                    ends = (o - o[0]) * 4
+                    if ends[-1] < 1 << 31:  # else the offsets of one array do not reach
+                        raws = pa.BinaryArray.from_buffers(pa.binary(), to - at, [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(held)])
+                    else:
+                        raws = pa.array([held[a:z].tobytes() for a, z in zip((o[:-1] - o[0]).tolist(), (o[1:] - o[0]).tolist(), strict=True)], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([None if z else int(k) for k, z in zip(keys, null, strict=True)], pa.int64()),
-                            pa.array(o[:-1] + j["base"], pa.int64()),
-                            pa.array(np.diff(o), pa.int64()),
-                            pa.array([ids(a, z).astype("<u4").tobytes() for a, z in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)], pa.binary()),
-                        ],
+                        [pa.array(np.asarray(keys), pa.int64(), mask=np.asarray(null) != 0), pa.array(o[:-1] + j["base"], pa.int64()), pa.array(np.diff(o), pa.int64()), raws],
                         ["key", "start", "n_tokens", "ids"],
                     )
 

@@ -7,6 +7,8 @@ raw string literals.
 
 from __future__ import annotations
 
+import re
+
 #: What Python's strip() takes from text that normalize_whitespace() has been over.
 BLANKS = " \t\n\r\x0b\x0c"
 
@@ -24,7 +26,41 @@ class Dialect:
         return f'r"{p}"' if '"' not in p else f"r'{p}'"
 
     def rx(self, x: str, p: str) -> str:
-        return f"regexp_like({x}, {self.pattern(p)})"
+        """Over a plain column a pattern that fixes how a match begins is tried only where the column begins so: a regex decodes the whole string first."""
+        if p in (r"^\p{Ll}", r"^\p{Lu}"):
+            return f"regexp_like(substring({x}, 1, 1), {self.pattern(p)})"
+        guard = self.begins(x, p) if re.fullmatch(r"\w+", x) else ""
+        return f"({guard} AND regexp_like({x}, {self.pattern(p)}))" if guard else f"regexp_like({x}, {self.pattern(p)})"
+
+    def begins(self, x: str, p: str) -> str:
+        """What a string that the anchored pattern p matches begins with, as a condition; empty if p does not say."""
+        if "|" in p:
+            return ""
+        if m := re.match(r"\^\[(\w)-(\w)\](?![*?{])", p):
+            return f"{x} >= '{m[1]}' AND {x} < {self.text(chr(ord(m[2]) + 1))}"
+        if p.startswith(("^#{1,6}", "^(#{1,6})")):
+            return self.starts(x, "#")
+        if m := re.match(r"\^\[([*†‡]+)\](?![*?{])", p):
+            return "(" + " OR ".join(self.starts(x, c) for c in m[1]) + ")"
+        if m := re.match(r"\^([A-Za-z]{2,})(?=\\s|\[ )", p):
+            return self.starts(x, m[1])
+        return ""
+
+    def trimmed(self, x: str) -> str:
+        """strip() of a plain column, which is left alone where neither end is blank: btrim() walks over the whole string."""
+        return f"CASE WHEN {x} < '!' OR {self.ends_in(x, BLANKS)} THEN {self.strip(x)} ELSE {x} END"
+
+    def rtrimmed(self, x: str) -> str:
+        """rstrip() of a plain column, as trimmed()."""
+        return f"CASE WHEN {self.ends_in(x, BLANKS)} THEN {self.rstrip(x)} ELSE {x} END"
+
+    def ends_in(self, x: str, chars: str) -> str:
+        """Whether x ends in one of some characters."""
+        return "(" + " OR ".join(self.ends(x, c) for c in chars) + ")"
+
+    def let(self, name: str, value: str, body: str) -> str:
+        """body, in which name stands for value, made once and only where body is."""
+        return f"get(transform(array({value}), {name} -> {body}), 0)"
 
     def count(self, x: str, p: str) -> str:
         return f"CAST(regexp_count({x}, {self.pattern(p)}) AS BIGINT)"
@@ -120,6 +156,12 @@ class Dialect:
 class Duck(Dialect):
     name = "duckdb"
 
+    def trimmed(self, x: str) -> str:
+        return self.strip(x)
+
+    def ends_in(self, x: str, chars: str) -> str:
+        return self.rx(x, f"[{chars}]$")
+
     def text(self, s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 

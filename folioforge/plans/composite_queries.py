@@ -157,6 +157,12 @@ add(
 def _validated(d) -> str:
     """A stored draft if it is valid, else an answer by rule if that is, else the source."""
     answer = "concat('譯：', source)"
+    if d.name == "spark":  # the words of the source are made once for both
+        reason = lambda t: validation.reason(d, "source", t, source_words="ws")
+        return (
+            f"SELECT doc_id, CASE WHEN stored_reason = 'ok' THEN 'stored' WHEN answer_reason = 'ok' THEN 'answer' ELSE 'source' END AS came_from, stored_reason, answer_reason"
+            f" FROM (SELECT doc_id, {reason('translated')} AS stored_reason, {reason(answer)} AS answer_reason FROM (SELECT *, {validation.lowercase_words(d, 'source')} AS ws FROM @pairs@))"
+        )
     return (
         f"SELECT doc_id, CASE WHEN stored_reason = 'ok' THEN 'stored' WHEN answer_reason = 'ok' THEN 'answer' ELSE 'source' END AS came_from, stored_reason, answer_reason"
         f" FROM (SELECT doc_id, {validation.reason(d, 'source', 'translated')} AS stored_reason, {validation.reason(d, 'source', answer)} AS answer_reason FROM @pairs@)"

@@ -45,6 +45,12 @@ def has_cjk(d: Dialect, x: str) -> str:
 def archival(d: Dialect, x: str) -> str:
     """Line feeds only, blanks collapsed and off line ends, at most one blank line running."""
     nl = chr(10)
+    if d.name == "spark":  # patterns that match only what changes
+        feeds = f"replace(replace(a_, {d.text(chr(13) + nl)}, {d.text(nl)}), {d.text(chr(13))}, {d.text(nl)})"
+        blanks = d.sub("a_", r"[ \t]{2,}|\t", " ")
+        lines = d.sub(d.sub("a_", r" +\n *|\n +", nl), r"\n{3,}", nl + nl)
+        x = d.let("a_", x, d.let("a_", f"CASE WHEN {d.has('a_', chr(13))} THEN {feeds} ELSE a_ END", d.trimmed("a_")))
+        return d.let("a_", x, d.let("a_", f"CASE WHEN {d.has('a_', '  ')} OR {d.has('a_', chr(9))} THEN {blanks} ELSE a_ END", d.let("a_", f"CASE WHEN {d.has('a_', nl)} THEN {lines} ELSE a_ END", d.trimmed("a_"))))
     x = d.strip(f"replace(replace({x}, {d.text(chr(13) + nl)}, {d.text(nl)}), {d.text(chr(13))}, {d.text(nl)})")
     return d.strip(d.sub(d.sub(d.sub(x, r"[ \t]+", " "), r" *\n *", nl), r"\n{3,}", nl + nl))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .dialect import Dialect
+from .dialect import SPARK, Dialect
 
 # Markers, symbols and words that decide a line's class.
 CONTENT_MARKER = "## Extracted Content"
@@ -24,12 +24,29 @@ def words(d: Dialect, x: str) -> str:
     return d.count(x, r"\S+")
 
 
-def normalize_whitespace(d: Dialect, x: str) -> str:
-    for a, b in (("\r\n", "\n"), ("\r", "\n"), ("﻿", ""), (" ", " "), (" ", " "), (" ", " "), ("​", ""), ("‌", ""), ("‍", ""), ("⁠", ""), ("\t", " "), ("\f", "\n\n")):
+def _replaced(d: Dialect, x: str, pairs) -> str:
+    for a, b in pairs:
         x = f"replace({x}, {d.text(a)}, {d.text(b)})"
     return x
 
 
+def normalize_whitespace(d: Dialect, x: str) -> str:
+    return _replaced(d, x, BLANK_FORMS)
+
+
+def normal_columns(x: str = "text") -> list[str]:
+    """normalize_whitespace() of a column in Spark, a step after another over the column itself: texts without a carriage return, or of ASCII alone, are not searched for each form."""
+    d = SPARK
+    return [
+        f"CASE WHEN {d.has(x, chr(13))} THEN {_replaced(d, x, BLANK_FORMS[:2])} ELSE {x} END",
+        f"CASE WHEN length({x}) = octet_length({x}) THEN {x} ELSE {_replaced(d, x, BLANK_FORMS[2:-2])} END",
+        f"CASE WHEN {d.has(x, chr(9))} OR {d.has(x, chr(12))} THEN {_replaced(d, x, BLANK_FORMS[-2:])} ELSE {x} END",
+    ]
+
+
+BLANK_FORMS = (("\r\n", "\n"), ("\r", "\n"), ("﻿", ""), (" ", " "), (" ", " "), (" ", " "), ("​", ""), ("‌", ""), ("‍", ""), ("⁠", ""), ("\t", " "), ("\f", "\n\n"))
+
+
 def unwrap(d: Dialect, x: str) -> str:
     """What follows the content marker, stripped; all where there is none."""
     m = d.text(CONTENT_MARKER)
@@ -54,7 +71,11 @@ def is_heading_text(d: Dialect, x: str) -> str:
 
 
 def markdown_heading(d: Dialect, x: str) -> str:
-    s = d.strip(x)
+    return markdown_of(d, d.strip(x))
+
+
+def markdown_of(d: Dialect, s: str) -> str:
+    """s: the stripped line."""
     put = lambda mark: f"concat({d.text(mark + ' ')}, {s})"
     return (
         f"CASE WHEN {d.in_(s, ('Abstract', 'References'))} THEN {put('##')} WHEN {d.rx(s, r'^[0-9]+ [A-Z].*$')} THEN {put('##')}"
@@ -65,6 +86,8 @@ def markdown_heading(d: Dialect, x: str) -> str:
 
 def is_table_line(d: Dialect, x: str) -> str:
     s = d.strip(x)
+    if d.name == "spark":
+        return table_of(d, s)
     tokens = d.extract_all(s, r"\S+")
     numeric = d.size(d.filter(tokens, "t", d.rx(d.strip("t", "%,()"), r"^[-+]?[0-9]+(?:\.[0-9]+)?$")))
     return (
@@ -73,6 +96,22 @@ def is_table_line(d: Dialect, x: str) -> str:
     )
 
 
+def table_of(d: Dialect, s: str) -> str:
+    """is_table_line() of a stripped line s, in Spark: numbers are counted as whole words by one pattern, and only where there are two digits."""
+    number = r"(?<!\S)[%,()]*[-+]?[0-9]+(?:\.[0-9]+)?[%,()]*(?!\S)"
+    n = words(d, s)
+    return (
+        f"({s} <> '' AND ({d.has(s, '|')} OR {d.rx(s, r'^(?:Figure|Table)\s+[0-9]+')} OR ({d.has(s, '$')} AND {d.rx(s, r'\$[0-9]')}) OR {d.rx(s, r'^[0-9.]+$')}"
+        f" OR ({d.rx(s, '(?s)[0-9].*[0-9]')} AND {d.count(s, number)} >= 2 AND {n} >= 4 AND {d.count(s, number)} >= {d.idiv(n, '2')})))"
+    )
+
+
+def opens_prose(d: Dialect, s: str, md: str, table: str) -> tuple[str, str]:
+    """Of a stripped line s: whether it may go on with a paragraph, and whether a paragraph may go on behind it. md: its heading or null; table: whether it is a table line."""
+    plain = f"({s} <> '' AND {md} IS NULL AND NOT {table})"
+    return plain, f"({plain} AND NOT {d.ends(s, ':')} AND NOT {d.rx(s, NOTE)} AND NOT {d.rx(s, r'^\(?[A-Za-z]?[0-9]+[A-Za-z]?\)?$')})"
+
+
 def continues_prose(d: Dialect, current: str, following: str) -> str:
     """Whether following belongs to the paragraph that current is in (source cleaning)."""
     c = current
@@ -116,6 +155,13 @@ def is_code(d: Dialect, x: str) -> str:
 def equation_of(d: Dialect, s: str, taken: str) -> str:
     """s: the stripped line; taken: whether it is a caption or a heading."""
     n = words(d, s)
+    if d.name == "spark":  # what costs little comes first
+        few = f"length({s}) <= {{}} AND {n} <= {{}}"
+        return (
+            f"({s} <> '' AND NOT {taken} AND CASE WHEN {d.starts(s, '$')} AND {d.ends(s, '$')} THEN true"
+            f" WHEN {d.has(s, '=')} THEN {few.format(80, 12)} WHEN {d.any_of(s, STRONG_SYMBOLS)} THEN {n} <= 12"
+            f" ELSE {few.format(64, 10)} AND {d.count(s, SYMBOL)} >= 2 END)"
+        )
     return (
         f"({s} <> '' AND NOT {taken} AND CASE WHEN {d.starts(s, '$')} AND {d.ends(s, '$')} THEN true"
         f" WHEN {d.has(s, '=')} THEN {n} <= 12 AND length({s}) <= 80 WHEN {d.any_of(s, STRONG_SYMBOLS)} THEN {n} <= 12"
@@ -128,7 +174,10 @@ def is_equation(d: Dialect, x: str) -> str:
 
 
 def is_note(d: Dialect, x: str) -> str:
-    s = d.strip(x)
+    return note_of(d, d.strip(x))
+
+
+def note_of(d: Dialect, s: str) -> str:
     return f"({d.rx(s, NOTE)} OR {s} = 'Equal contribution')"
 
 
@@ -147,7 +196,7 @@ def line_class(d: Dialect, x: str, before_abstract: str, in_references: str) ->
 
 def caption_goes_on(d: Dialect, previous: str, s: str, starts: str, gap: str) -> str:
     """previous, s: stripped; starts: whether s is a heading, begins a caption or stands in the references."""
-    return f"(NOT {starts} AND NOT {d.rx(previous, '[.!?]$')} AND (NOT {gap} OR {d.lower_start(s)} OR {d.any_of(s, PANELS)}))"
+    return f"(NOT {starts} AND NOT {d.ends_in(previous, '.!?')} AND (NOT {gap} OR {d.lower_start(s)} OR {d.any_of(s, PANELS)}))"
 
 
 def continues_caption(d: Dialect, previous: str, x: str, gap: str, before_abstract: str, in_references: str) -> str:
@@ -156,17 +205,26 @@ def continues_caption(d: Dialect, previous: str, x: str, gap: str, before_abstra
 
 def continues_paragraph(d: Dialect, previous: str, x: str, kind: str) -> str:
     """kind: class of x with its flags. Blank lines between do not matter."""
-    s, p = d.strip(x), d.strip(previous)
+    return paragraph_goes_on(d, d.strip(previous), d.strip(x), kind)
+
+
+def paragraph_goes_on(d: Dialect, p: str, s: str, kind: str) -> str:
+    """p, s: stripped."""
     return (
-        f"({d.in_(kind, ('paragraph', 'unknown'))} AND NOT {d.rx(p, '[.!?:]$')} AND NOT {d.starts(p, 'Figure ')} AND NOT {d.starts(p, 'Table ')} AND NOT {is_note(d, previous)}"
+        f"({d.in_(kind, ('paragraph', 'unknown'))} AND NOT {d.ends_in(p, '.!?:')} AND NOT {d.starts(p, 'Figure ')} AND NOT {d.starts(p, 'Table ')} AND NOT {note_of(d, p)}"
         f" AND NOT (length({s}) <= 3 AND NOT {d.rx(s, r'^\p{L}+$')}))"
     )
 
 
 def starts_reference(d: Dialect, previous: str, x: str) -> str:
-    s = d.strip(x)
+    return reference_of(d, d.strip(previous), d.strip(x))
+
+
+def reference_of(d: Dialect, p: str, s: str) -> str:
+    """p, s: stripped."""
     year = r"(?:^|[^\p{L}\p{N}_])(?:19|20)[0-9]{2}[a-z]?(?:[^\p{L}\p{N}_]|$)"
-    return f"({d.ends(d.strip(previous), '.')} AND {d.rx(s, r'^\p{Lu}')} AND {d.rx(s, year)})"
+    held = f"({d.has(s, '19')} OR {d.has(s, '20')}) AND " if d.name == "spark" else ""
+    return f"({d.ends(p, '.')} AND {d.rx(s, r'^\p{Lu}')} AND {held}{d.rx(s, year)})"
 
 
 def section_of(d: Dialect, x: str) -> str:
@@ -187,7 +245,8 @@ def clean_text(d: Dialect, x: str = "text") -> str:
 def flagged(d: Dialect) -> str:
     """Columns over non-blank lines: previous one, whether a blank line lies between, and the two flags of a paper."""
     w = "OVER (PARTITION BY doc_id ORDER BY line_no"
-    seen = lambda name: f"coalesce(max(CASE WHEN {heading_name(d, 'line')} = '{name}' THEN 1 ELSE 0 END) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1"
+    held = lambda name: f"{d.has('line', name)} AND " if d.name == "spark" else ""
+    seen = lambda name: f"coalesce(max(CASE WHEN {held(name)}{heading_name(d, 'line')} = '{name}' THEN 1 ELSE 0 END) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1"
     return (
         f"doc_id, line_no, line, lag(line) {w}) AS previous, coalesce(line_no - lag(line_no) {w}) > 1, false) AS gap,"
         f" NOT ({seen('Abstract')}) AS before_abstract, {seen('References')} AS in_references"

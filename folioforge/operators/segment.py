@@ -18,17 +18,21 @@ NL = chr(10)
 
 def lines_of(texts: DataFrame) -> DataFrame:
     """texts (doc_id, text) -> (doc_id, line_no, line): lines of the cleaned text, counted from 1, without blanks at their ends."""
-    clean = texts.selectExpr("doc_id", f"{lines.clean_text(SPARK)} AS text")
-    return clean.select("doc_id", F.posexplode(F.split("text", NL)).alias("pos", "line")).selectExpr("doc_id", "CAST(pos + 1 AS BIGINT) AS line_no", f"{SPARK.rstrip('line')} AS line")
+    clean = texts.select("doc_id", "text")
+    for step in [*lines.normal_columns("text"), SPARK.trimmed("text")]:
+        clean = clean.selectExpr("doc_id", f"{step} AS text")
+    return clean.select("doc_id", F.posexplode(F.split("text", NL)).alias("pos", "line")).selectExpr("doc_id", "CAST(pos + 1 AS BIGINT) AS line_no", f"{SPARK.rtrimmed('line')} AS line")
 
 
 def prose_of(numbered: DataFrame) -> DataFrame:
     """The lines that are not blank, each with the one before it, whether a blank line lies between, and the flags of its paper."""
-    return numbered.where(f"{SPARK.strip('line')} <> ''").selectExpr(*columns_of(lines.flagged(SPARK)))
+    return numbered.where(f"{SPARK.trimmed('line')} <> ''").selectExpr(*columns_of(lines.flagged(SPARK)))
 
 
 def _typed(d: Dialect) -> str:
     """(doc_id, line_no, line, kind and whether a block of each state goes on with the line). What a line is found to be is made once, as columns."""
+    if d.name == "spark":
+        return _typed_spark(d)
     stripped = f"SELECT doc_id, line_no, line, gap, before_abstract, in_references, {d.strip('line')} AS s, {lines.heading_name(d, 'line')} AS n, coalesce(previous, '') AS previous, {d.strip('coalesce(previous, ' + d.text('') + ')')} AS p FROM @prose@"
     found = (
         f"SELECT *, {lines.heading_of(d, 's', 'n')} AS head, {lines.heading_of(d, 's', 'n', 'before_abstract')} AS head_here, {d.rx('s', lines.FIGURE)} AS figure, {d.rx('s', lines.TABLE)} AS is_table,"
@@ -42,6 +46,22 @@ def _typed(d: Dialect) -> str:
     )
 
 
+def _typed_spark(d: Dialect) -> str:
+    """The same over stripped lines that are columns, so that what costs little is asked of them first."""
+    stripped = f"SELECT doc_id, line_no, line, gap, before_abstract, in_references, {d.trimmed('line')} AS s, coalesce({d.trimmed('previous')}, '') AS p FROM @prose@"
+    named = f"SELECT *, CASE WHEN {d.rx('s', lines.MARKDOWN)} THEN {d.strip(d.extract('s', lines.MARKDOWN, 2))} ELSE s END AS n FROM ({stripped})"
+    found = (
+        f"SELECT *, {lines.heading_of(d, 's', 'n')} AS head, before_abstract AND {d.ends('n', '?')} AND {lines.heading_of(d, 's', 'n', 'true')} AS asks, {d.rx('s', lines.FIGURE)} AS figure, {d.rx('s', lines.TABLE)} AS is_table,"
+        f" ({d.starts('s', '```')} OR ({d.starts('line', '    ')} AND s <> '')) AS code, {lines.note_of(d, 's')} AS note FROM ({named})"
+    )
+    marked = f"SELECT *, (head OR asks) AS head_here, {lines.equation_of(d, 's', '(figure OR is_table OR head)')} AS equation FROM ({found})"
+    classed = f"SELECT *, {lines.class_of(d, 's', 'head_here', 'figure', 'is_table', 'in_references', 'code', 'equation', 'note')} AS kind FROM ({marked})"
+    return (
+        f"SELECT doc_id, line_no, s AS line, kind, {lines.caption_goes_on(d, 'p', 's', '(head_here OR figure OR is_table OR in_references)', 'gap')} AS caption,"
+        f" equation, code, NOT head AND NOT {lines.reference_of(d, 'p', 's')} AS reference, {lines.paragraph_goes_on(d, 'p', 's', 'kind')} AS prose FROM ({classed})"
+    )
+
+
 _GOES_ON = "CASE {s} WHEN 'figure' THEN {x}.caption WHEN 'table' THEN {x}.caption WHEN 'equation' THEN {x}.equation WHEN 'code' THEN {x}.code WHEN 'reference' THEN {x}.reference WHEN 'paragraph' THEN {x}.prose WHEN 'unknown' THEN {x}.prose ELSE false END"
 
 
@@ -72,16 +92,24 @@ def _numbered(d: Dialect) -> str:
 
 def _blocks(d: Dialect) -> str:
     stripped = d.strip("line")
-    if d.name == "spark":
-        joined = lambda sep: f"array_join(transform(array_sort(collect_list(struct(line_no, {stripped} AS s))), e -> e.s), {d.text(sep)})"
+    if d.name == "spark":  # lines are stripped already; they are collected once
+        joined = lambda sep: f"array_join(transform(ls, e -> e.line), {d.text(sep)})"
         number = "format_string('b%06d', block)"
         section = "last(own, true) OVER (PARTITION BY doc_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     else:
         joined = lambda sep: f"string_agg({stripped}, {d.text(sep)} ORDER BY line_no)"
         number = "printf('b%06d', block)"
         section = "last_value(own IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    return (
+    grouped = (
         f"grouped AS (SELECT doc_id, block, min(state) AS state, {joined(NL)} AS by_line, {joined(' ')} AS by_blank, min(line_no) AS line_start, max(line_no) AS line_end, count(*) AS n_lines, max(length({stripped})) AS longest FROM numbered GROUP BY doc_id, block),"
+    )
+    if d.name == "spark":
+        grouped = (
+            "gathered AS (SELECT doc_id, block, min(state) AS state, array_sort(collect_list(struct(line_no, line))) AS ls, min(line_no) AS line_start, max(line_no) AS line_end, count(*) AS n_lines, max(length(line)) AS longest FROM numbered GROUP BY doc_id, block),"
+            f" grouped AS (SELECT *, {joined(NL)} AS by_line, {joined(' ')} AS by_blank FROM gathered),"
+        )
+    return (
+        f"{grouped}"
         f" named AS (SELECT doc_id, block, line_start, CASE WHEN state = 'reference' THEN line_start + n_lines - 1 ELSE line_end END AS line_end,"
         f" CASE WHEN state = 'heading' THEN {lines.heading_name(d, 'by_line')} WHEN state IN ('figure', 'table', 'equation', 'code') THEN by_line ELSE by_blank END AS source,"
         f" CASE WHEN state IN ('paragraph', 'unknown') THEN CASE WHEN longest <= 2 OR {lines.is_note(d, 'by_blank')} THEN 'unknown' ELSE 'paragraph' END ELSE state END AS kind,"
@@ -111,6 +139,20 @@ def kept_lines(d: Dialect) -> str:
     first = lambda x: f"first({x}, true)" if d.name == "spark" else f"first_value({x} IGNORE NULLS)"
     ahead = "OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
     number = d.rx("line", r"^[0-9]+(?:\.[0-9]+)*$")
+    if d.name == "spark":
+        # what follows a line is what came last when lines are gone through from the end: a frame up to the end would be read anew for every line
+        back = "OVER (PARTITION BY doc_id ORDER BY line_no DESC ROWS BETWEEN UNBOUNDED PRECEDING AND {})"
+        ahead = back.format("1 PRECEDING")
+        squeezed = f"SELECT doc_id, line_no, {d.trimmed('line')} AS line FROM (SELECT doc_id, line_no, CASE WHEN {d.has('line', '  ')} THEN {d.sub('line', '[ ]{2,}', ' ')} ELSE line END AS line FROM @lines@)"
+        return (
+            f"squeezed AS ({squeezed}),"
+            f" placed AS (SELECT *, min(CASE WHEN line = 'Abstract' THEN line_no END) {back.format('UNBOUNDED FOLLOWING')} AS abstract FROM squeezed),"
+            f" front AS (SELECT doc_id, line_no, line FROM placed WHERE NOT (coalesce(line_no < abstract, false) AND {lines.is_noise(d, 'line')})),"
+            f" ahead AS (SELECT *, last(nullif(line, ''), true) {ahead} AS following, last(CASE WHEN line <> '' THEN line_no END, true) {ahead} AS following_no FROM front),"
+            f" split AS (SELECT *, coalesce({number} AND {lines.is_heading_text(d, 'following')} AND NOT {d.rx('following', '^(?:Figure|Table)[ ]+[0-9]+')}, false) AS joins FROM ahead),"
+            " reached AS (SELECT *, max(CASE WHEN joins THEN following_no END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM split),"
+            " kept AS (SELECT doc_id, line_no, CASE WHEN joins THEN concat(line, ' ', following) ELSE line END AS line FROM reached WHERE coalesce(line_no > reach, true))"
+        )
     return (
         f"squeezed AS (SELECT doc_id, line_no, {d.strip(d.sub('line', '[ ]{2,}', ' '))} AS line FROM @lines@),"
         f" placed AS (SELECT *, min(CASE WHEN line = 'Abstract' THEN line_no END) OVER (PARTITION BY doc_id) AS abstract FROM squeezed),"
@@ -134,6 +176,18 @@ def reflowed(d: Dialect) -> str:
         document = f"string_agg(block, {d.text(NL + NL)} ORDER BY island)"
     prose = f"replace({d.sub('joined', '-' + chr(30) + r'(\p{Ll})', chr(92) + '1')}, {mark}, ' ')"
     prose = f"replace(replace({d.sub(prose, r'\s+([,.;:?!])', chr(92) + '1')}, '( ', '('), ' )', ')')"
+    if d.name == "spark":  # what a line is found to be is made once, a line a row, and goes with its paragraph
+        plain, opens = lines.opens_prose(d, "line", "md", "is_table")
+        styled = f"CASE WHEN {d.has('joined', chr(30))} THEN {d.strip(prose)} WHEN md IS NOT NULL THEN md WHEN is_table THEN joined ELSE {d.strip(prose)} END"
+        return (
+            f"{kept_lines(d)}, told AS (SELECT *, {lines.markdown_of(d, 'line')} AS md, {lines.table_of(d, 'line')} AS is_table FROM (SELECT doc_id, line_no, {d.trimmed('line')} AS line FROM kept)),"
+            f" may AS (SELECT *, {plain} AS plain, {opens} AS opens FROM told),"
+            f" stepped AS (SELECT doc_id, line_no, line, md, is_table, plain AND coalesce(lag(opens) {w}, false) AS goes_on FROM may),"
+            f" broken AS (SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) {w} AS island FROM stepped),"
+            f" folded AS (SELECT doc_id, island, max(md) AS md, max(is_table) AS is_table, {joined} AS joined FROM broken WHERE line <> '' GROUP BY doc_id, island),"
+            f" styled AS (SELECT doc_id, island, {styled} AS block FROM folded),"
+            f" cleaned AS (SELECT doc_id, count(*) AS n_blocks, {document} AS text FROM styled GROUP BY doc_id)"
+        )
     return (
         f"{kept_lines(d)}, stepped AS (SELECT *, lag(line) {w} AS previous FROM kept),"
         f" broken AS (SELECT *, sum(CASE WHEN {lines.continues_prose(d, 'coalesce(previous, ' + d.text('') + ')', 'line')} THEN 0 ELSE 1 END) {w} AS island FROM stepped),"

@@ -16,10 +16,12 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Dialect
+from ..sources.portions import portions
 from ..sources.shipping import ship
 
 # Block marks of requests and answers, fences around answers.
@@ -224,20 +226,22 @@ def call(df: DataFrame, make: Callable[[], Provider], id_col: str, text_col: str
     def run(batches):
         provider = make()
         for b in batches:
-            got: dict[str, str] = {}
-            prompts = dict(zip(b["id"], b["prompt"], strict=True)) if prompt_col else None
-            for r in requests(b["id"].tolist(), b["text"].tolist()):
-                got |= ask(provider, r, tries, wait, prompts)
-            yield pd.DataFrame({"id": b["id"], "answer": [got[k] for k in b["id"]]})
+            for part in portions(b):
+                keys, texts, *more = (c.to_pylist() for c in part.columns)
+                got: dict[str, str] = {}
+                prompts = dict(zip(keys, more[0], strict=True)) if prompt_col else None
+                for r in requests(keys, texts):
+                    got |= ask(provider, r, tries, wait, prompts)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([got[k] for k in keys], pa.string())], ["id", "answer"])
 
-    return src.mapInPandas(run, "id string, answer string")
+    return src.mapInArrow(run, "id string, answer string")
 
 
 def answered(df: DataFrame, make: Callable[[], Provider], id_col: str, text_col: str, store: str, tries: int = 3, wait: float = 0.0, prompt_col: str | None = None, batches: int = 4) -> DataFrame:
     """call() with a store: (id, answer) of every row.
 
     The store is a Parquet folder that only grows, keyed by the content of a request. Rows are asked in `batches` slices
-    of that key and each slice is appended when it is done, so a run that is lost asks only for what the store lacks.
+    by a hash of their text, so that keys and prompts are made for the rows of a slice alone, and each slice is appended when it is done, so a run that is lost asks only for what the store lacks.
     Equal requests are asked once. Failures are noted but asked again by the next run."""
     spark = df.sparkSession
     content = F.concat_ws("\x1f", F.coalesce(F.col(text_col), F.lit("")), *([F.coalesce(F.col(prompt_col), F.lit(""))] if prompt_col else []))
@@ -249,7 +253,7 @@ def answered(df: DataFrame, make: Callable[[], Provider], id_col: str, text_col:
         spark.createDataFrame([], schema).write.parquet(store)
     for k in range(batches):
         known = spark.read.schema(schema).parquet(store).where("NOT failed").select("key")
-        todo = src.where(F.pmod(F.xxhash64("key"), F.lit(batches)) == k).dropDuplicates(["key"]).join(known, "key", "left_anti")
+        todo = src.where(F.pmod(F.xxhash64("text"), F.lit(batches)) == k).dropDuplicates(["key"]).join(known, "key", "left_anti")
         got = call(todo, make, "key", "text", tries, wait, "prompt" if prompt_col else None)
         got.select(F.col("id").alias("key"), "answer", (F.col("answer") == F.concat(F.lit("[TRANSLATION_ERROR:"), "id", F.lit("]"))).alias("failed")).write.mode("append").parquet(store)
     best = spark.read.schema(schema).parquet(store).groupBy("key").agg(F.max(F.when(~F.col("failed"), F.col("answer"))).alias("answer"))
